@@ -7,12 +7,10 @@ window spec, which Spark plans as one exchange and one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tapewire.functions.numeric import finite, safe_div
 
-BY_TICKER = Window.partitionBy("ticker").orderBy("dt")
-
 # Feature set, label thresholds and horizon of the method.
 PRICE_FEATURES = [
     "daily_return", "return_5d", "return_20d", "return_60d", "volatility_20d", "volatility_60d",
@@ -26,13 +24,17 @@ SPIKE, CRASH = 0.015, -0.015
 HORIZON = 20
 
 
+def by_ticker() -> WindowSpec:
+    return Window.partitionBy("ticker").orderBy("dt")
+
+
 def pct_change(value: Column, rows: int = 1) -> Column:
-    return safe_div(value, F.lag(value, rows).over(BY_TICKER)) - 1
+    return safe_div(value, F.lag(value, rows).over(by_ticker())) - 1
 
 
 def rolling(aggregate: Column, value: Column, rows: int) -> Column:
     """An aggregate over the last `rows` rows, null until all of them are non-null."""
-    frame = BY_TICKER.rowsBetween(1 - rows, 0)
+    frame = by_ticker().rowsBetween(1 - rows, 0)
     return F.when(F.count(value).over(frame) == rows, aggregate.over(frame))
 
 
@@ -44,13 +46,23 @@ def rolling_std(value: Column, rows: int) -> Column:
     return rolling(F.stddev_samp(value), value, rows)
 
 
+def spread_by_ticker(bars: DataFrame) -> DataFrame:
+    """Hash by ticker over all shuffle partitions.
+
+    Rolling frames cost CPU rather than bytes, so the byte-driven merging of small
+    partitions would leave them to one task. The windows reuse this exchange.
+    """
+    partitions = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bars.repartition(partitions, "ticker")
+
+
 def returns(bars: DataFrame, spans=(1, 3, 5, 10, 20, 60)) -> DataFrame:
     return bars.select("ticker", "dt", *[pct_change(F.col("close"), k).alias(f"return_{k}d") for k in spans])
 
 
 def rsi(bars: DataFrame, rows: int = 14) -> DataFrame:
     """Relative strength from simple rolling means; a window without losses gives null."""
-    moved = bars.select("ticker", "dt", "close", (F.col("close") - F.lag("close").over(BY_TICKER)).alias("move"))
+    moved = bars.select("ticker", "dt", "close", (F.col("close") - F.lag("close").over(by_ticker())).alias("move"))
     gain = F.when(F.col("move").isNotNull(), F.greatest(F.col("move"), F.lit(0.0)))
     loss = F.when(F.col("move").isNotNull(), F.greatest(-F.col("move"), F.lit(0.0)))
     strength = safe_div(rolling_mean(gain, rows), rolling_mean(loss, rows))
@@ -61,8 +73,8 @@ def forward_return(bars: DataFrame, horizon: int = HORIZON) -> DataFrame:
     return bars.select(
         "ticker",
         "dt",
-        (safe_div(F.lead("close", horizon).over(BY_TICKER), F.col("close")) - 1).alias("forward_return"),
-        F.lead("dt", horizon).over(BY_TICKER).alias("target_end_date"),
+        (safe_div(F.lead("close", horizon).over(by_ticker()), F.col("close")) - 1).alias("forward_return"),
+        F.lead("dt", horizon).over(by_ticker()).alias("target_end_date"),
     )
 
 
@@ -72,11 +84,21 @@ def price_features(bars: DataFrame, complete_only: bool = True) -> DataFrame:
     With `complete_only` warm-up rows and rows without a target are dropped.
     """
     close, volume, ret, move = (F.col(c) for c in ("close", "volume", "daily_return", "move"))
-    based = bars.select(
+    upto = by_ticker().rowsBetween(Window.unboundedPreceding, 0)
+    based = spread_by_ticker(bars).select(
         "ticker", "dt", "close", "volume",
         pct_change(close).alias("daily_return"),
-        (close - F.lag("close").over(BY_TICKER)).alias("move"),
+        (close - F.lag("close").over(by_ticker())).alias("move"),
+        F.sum("close").over(upto).alias("close_sum"),
+        F.count("close").over(upto).alias("close_count"),
     )
+
+    def long_mean(rows: int) -> Column:
+        """Rolling mean of close as a difference of running sums: constant work per row."""
+        seen = F.col("close_count") - F.coalesce(F.lag("close_count", rows).over(by_ticker()), F.lit(0))
+        total = F.col("close_sum") - F.coalesce(F.lag("close_sum", rows).over(by_ticker()), F.lit(0.0))
+        return F.when(seen == rows, total / rows)
+
     gain = F.when(move.isNotNull(), F.greatest(move, F.lit(0.0)))
     loss = F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))
     strength = safe_div(rolling_mean(gain, 14), rolling_mean(loss, 14))
@@ -87,20 +109,20 @@ def price_features(bars: DataFrame, complete_only: bool = True) -> DataFrame:
         "return_60d": pct_change(close, 60),
         "volatility_20d": rolling_std(ret, 20),
         "volatility_60d": rolling_std(ret, 60),
-        "ma_10_gap": safe_div(close, rolling_mean(close, 10)) - 1,
-        "ma_50_gap": safe_div(close, rolling_mean(close, 50)) - 1,
-        "ma_200_gap": safe_div(close, rolling_mean(close, 200)) - 1,
+        "ma_10_gap": safe_div(close, long_mean(10)) - 1,
+        "ma_50_gap": safe_div(close, long_mean(50)) - 1,
+        "ma_200_gap": safe_div(close, long_mean(200)) - 1,
         "rsi_14": (100 - 100 / (1 + strength)) / 100,
         "volume_change_20d": pct_change(volume, 20),
         "volume_z_20d": safe_div(volume - rolling_mean(volume, 20), rolling_std(volume, 20)),
-        "forward_return": safe_div(F.lead("close", HORIZON).over(BY_TICKER), close) - 1,
+        "forward_return": safe_div(F.lead("close", HORIZON).over(by_ticker()), close) - 1,
     }
     out = based.select(
         "ticker",
         "dt",
-        *[finite(c).alias(n) for n, c in columns.items()],
-        F.lead("dt", HORIZON).over(BY_TICKER).alias("target_end_date"),
-    )
+        *[c.alias(n) for n, c in columns.items()],
+        F.lead("dt", HORIZON).over(by_ticker()).alias("target_end_date"),
+    ).withColumns({n: finite(F.col(n)) for n in columns})
     return out.dropna() if complete_only else out
 
 
@@ -108,7 +130,7 @@ def market_features(bars: DataFrame) -> DataFrame:
     """The nine market features; rows are kept and missing values stay null."""
     close, volume = F.col("close"), F.col("volume")
     based = bars.withColumn("return_1d", pct_change(close))
-    before = F.lag("close").over(BY_TICKER)
+    before = F.lag("close").over(by_ticker())
     columns = {
         "return_1d": F.col("return_1d"),
         "return_3d": pct_change(close, 3),
@@ -120,14 +142,15 @@ def market_features(bars: DataFrame) -> DataFrame:
         "volume_ratio": safe_div(volume, rolling_mean(volume, 10)),
         "gap_pct": safe_div(F.col("open") - before, before),
     }
-    return based.select("ticker", "dt", *[finite(c).alias(n) for n, c in columns.items()])
+    out = based.select("ticker", "dt", *[c.alias(n) for n, c in columns.items()])
+    return out.withColumns({n: finite(F.col(n)) for n in columns})
 
 
 def next_day_label(bars: DataFrame, spike: float = SPIKE, crash: float = CRASH) -> DataFrame:
     """Label each day by the return of the ticker's next row; the last row is dropped."""
     ahead = F.col("next_return")
     return (
-        bars.select("ticker", "dt", (safe_div(F.lead("close").over(BY_TICKER), F.col("close")) - 1).alias("next_return"))
+        bars.select("ticker", "dt", (safe_div(F.lead("close").over(by_ticker()), F.col("close")) - 1).alias("next_return"))
         .where(ahead.isNotNull())
         .withColumn("label", F.when(ahead > spike, "spike").when(ahead < crash, "crash").otherwise("neutral"))
     )
@@ -148,7 +171,7 @@ def calendar_grid(bars: DataFrame) -> DataFrame:
 
 def forward_filled(bars: DataFrame, columns=("open", "high", "low", "close", "volume")) -> DataFrame:
     """Bars on the union calendar, gaps filled from the last row, leading gaps dropped."""
-    upto = BY_TICKER.rowsBetween(Window.unboundedPreceding, 0)
+    upto = by_ticker().rowsBetween(Window.unboundedPreceding, 0)
     filled = calendar_grid(bars).join(bars, ["ticker", "dt"], "left")
     return filled.select(
         "ticker", "dt", *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in columns]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("bars",)
+FAMILIES = ("bars", "portfolios")
 
 
 def load_all():
