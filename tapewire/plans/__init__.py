@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("bars", "portfolios")
+FAMILIES = ("bars", "portfolios", "news", "pages")
 
 
 def load_all():
