@@ -86,10 +86,11 @@ def last_filled(values: Column) -> Column:
 
 def meta_value(tags: Column, keys: list[str]) -> Column:
     """Content of the first key, in key order, that the page fills."""
-    per_key = [
-        F.get(F.filter(tags, lambda t, k=k: t["key"] == k), F.lit(0))["content"] for k in keys
-    ]
-    return first_filled(F.array(*per_key))
+
+    def content_of(key: str) -> Column:
+        return F.get(F.filter(tags, lambda t: t["key"] == key), F.lit(0))["content"]
+
+    return first_filled(F.array(*[content_of(k) for k in keys]))
 
 
 def without_scripts(html: Column) -> Column:

@@ -23,7 +23,7 @@ JUNK_AUTHOR = (
     r"(?i)^https?://|www\.|@[\p{L}\p{N}_]+|^[0-9]+$|^admin$|^staff$"
     r"|^contributor$|^editor$|^newsroom$|^editorial team$|^unknown$"
 )
-BASIC_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+BASIC_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 
 def squeeze(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("bars", "portfolios", "news", "pages")
+FAMILIES = ("bars", "portfolios", "news", "pages", "vectors")
 
 
 def load_all():

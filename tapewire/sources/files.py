@@ -22,6 +22,7 @@ def write_csv(df: DataFrame, folder: str, columns: Sequence[str], partition: str
     """CSV with a header and a fixed column order; quotes are doubled."""
     writer = df.select(*columns, *([partition] if partition else [])).write.option("header", True)
     writer = writer.option("quote", '"').option("escape", '"').option("emptyValue", '""')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (writer.partitionBy(partition) if partition else writer).csv(folder)
     return folder
 
@@ -33,15 +34,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, **options
     """
     reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
     reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", True)
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     return reader.options(**options).csv(path)
 
 
 def read_keyed_csv(spark: SparkSession, folder: str, schema: StructType | str, key: str = "ticker") -> DataFrame:
     """Many CSV files whose key is the file or folder name; absent keys are absent files."""
     rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(folder)
-    name = F.regexp_extract(F.col("_metadata.file_path"), rf"{key}=([^/]+)/", 1)
-    return rows.withColumn(key, F.url_decode(F.when(name != "", name).otherwise(
-        F.regexp_extract(F.col("_metadata.file_name"), KEY_FROM_FILE, 1))))
+    folder_key = F.regexp_extract(F.col("_metadata.file_path"), rf"{key}=([^/]+)/", 1)
+    file_key = F.regexp_extract(F.col("_metadata.file_name"), KEY_FROM_FILE, 1)
+    # Folder names are escaped once by the writer and once more in the path.
+    name = F.when(folder_key != "", F.url_decode(F.url_decode(folder_key))).otherwise(F.url_decode(file_key))
+    return rows.withColumn(key, name)
 
 
 def read_url_list(arrays: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
