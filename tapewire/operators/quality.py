@@ -140,7 +140,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
     for c in columns:
         low, high = bounds[c]
         width = (high - low) / bins if high > low else 1.0
-        at = F.least(F.floor((F.col(c).cast("double") - low) / width) + 1, F.lit(bins))
+        at = F.when(F.col(c).isNotNull(), F.least(F.floor((F.col(c).cast("double") - low) / width) + 1, F.lit(bins)))
         binned.append(F.struct(F.lit(c).alias("column_name"), at.alias("bin")))
     cells = df.select(F.explode(F.array(*binned)).alias("c")).select("c.*").where("bin IS NOT NULL")
     return cells.groupBy("column_name", "bin").agg(F.count("*").alias("n"))
