@@ -11,6 +11,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tapewire.functions.text import squeeze, unescape_basic
 
@@ -193,7 +194,12 @@ class _Fallbacks(HTMLParser):
             self.byline += data.strip()
 
 
-@F.pandas_udf("times array<string>, byline string, error string")
+FALLBACK = (
+    StructType().add("times", ArrayType(StringType())).add("byline", StringType()).add("error", StringType())
+)
+
+
+@F.pandas_udf(FALLBACK)
 def fallbacks(html: pd.Series) -> pd.DataFrame:
     """Time values and byline per page; a page that cannot be parsed reports its error instead."""
     rows = []

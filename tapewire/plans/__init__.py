@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("bars", "portfolios", "news", "pages", "vectors", "tabular", "learning")
+FAMILIES = ("bars", "portfolios", "news", "pages", "vectors", "tabular", "learning", "streams")
 
 
 def load_all():
