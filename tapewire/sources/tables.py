@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-EPOCH = "2020-01-01"
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows, TEXT_TABLES[name]) if name in TEXT_TABLES else rows
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Hash rows over the cores when the files give fewer splits than that.
+
+    Text work costs CPU, and a table in one row group would run on one core.
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
