@@ -28,7 +28,7 @@ def bars(spark: SparkSession, sf: str) -> DataFrame:
     min_by and max_by combine on the map side, so a ticker or day with a third of
     the trades shuffles one partial row per task.
     """
-    trades = table(spark, sf, "lineitem")
+    trades = spread(table(spark, sf, "lineitem"), "l_orderkey")
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("ticker"))
     price = F.col("l_extendedprice") / F.col("l_quantity")
     turn = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
