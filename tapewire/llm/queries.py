@@ -73,3 +73,29 @@ def op8_source_mix(spark, sf):
     from tapewire.llm.mixing import mix_plan
 
     return mix_plan(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op3_curve_packing")
+def op3_curve_packing(spark, sf):
+    """All documents packed into sequences of 1,024 tokens along a Hilbert curve."""
+    from tapewire.llm.packing import pack_documents
+
+    pieces = pack_documents(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), end=0, length=1024)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op9_token_files")
+def op9_token_files(spark, sf):
+    """Ids of all documents written as Simple-8b files in doc_id order and read back."""
+    from tapewire.llm.token_files import read_ids, write_ids
+
+    rows = read_ids(write_ids(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), end=2))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
