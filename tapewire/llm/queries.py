@@ -99,3 +99,29 @@ def op9_token_files(spark, sf):
 
     rows = read_ids(write_ids(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), end=2))
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op1_warc")
+def op1_warc(spark, sf):
+    """Every page written as a WARC record, equal payloads as revisits, and all read back by byte ranges."""
+    from tapewire.llm import warc
+
+    back = warc.read_warc(warc.write_warc(warc.mark_revisits(table(spark, sf, "pages"))))
+    return back.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        F.when(F.col("type") == "revisit", F.col("http_length")).otherwise(F.length("payload").cast("bigint")).alias("payload_bytes"),
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.page_number(F.col("refers_to_id")).alias("refers_to"),
+    )
+
+
+@query("op7_language_id")
+def op7_language_id(spark, sf):
+    """Language of every whole text, learned from labelled documents that are not held out."""
+    from tapewire.llm.langid import fit_languages, held_out, predict_languages
+
+    docs = table(spark, sf, "documents")
+    model = fit_languages(docs.where(~held_out(F.col("doc_id"))))
+    judged = predict_languages(docs.select("doc_id", "text"), model, ["doc_id"])
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
