@@ -125,3 +125,11 @@ def op7_language_id(spark, sf):
     model = fit_languages(docs.where(~held_out(F.col("doc_id"))))
     judged = predict_languages(docs.select("doc_id", "text"), model, ["doc_id"])
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_vector_forest")
+def op10_vector_forest(spark, sf):
+    """All vectors of equal labels linked at a cosine of 0.98."""
+    from tapewire.llm.near_dup import link_vectors
+
+    return link_vectors(table(spark, sf, "embeddings"), threshold=0.98)
