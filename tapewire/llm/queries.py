@@ -133,3 +133,12 @@ def op10_vector_forest(spark, sf):
     from tapewire.llm.near_dup import link_vectors
 
     return link_vectors(table(spark, sf, "embeddings"), threshold=0.98)
+
+
+@query("op2_learned_partitions")
+def op2_learned_partitions(spark, sf):
+    """The 20 nearest rows of every 20th vector by inner product."""
+    from tapewire.llm.learned_index import nearest
+
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
