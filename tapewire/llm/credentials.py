@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tapewire.llm.common import stage
+
 # The base patterns, with the group that is measured and its least length.
 BASE = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -127,3 +129,20 @@ def mask_spans(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     )
     rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
     return F.when(F.size(spans) > 0, F.aggregate(spans, state, step, rest)).otherwise(text)
+
+
+def mask_secrets(documents: DataFrame) -> DataFrame:
+    """`documents` with every reported span masked in text, and n_chars, where present, of the new text.
+
+    Spans travel without texts and come back to their rows by id and a digest of the
+    text; documents without spans are unchanged.
+    """
+    own = documents.columns
+    keyed = documents.withColumn("_text_hash", F.xxhash64("text"))
+    found = find_spans(keyed.select("doc_id", "text", "_text_hash"), ["doc_id", "_text_hash"]).where(F.size("spans") > 0)
+    found = found.select(F.col("doc_id").alias("_of"), F.col("_text_hash").alias("_found_hash"), F.col("spans").alias("_spans"))
+    found = stage(found.dropDuplicates(["_of", "_found_hash"]), "spans")
+    met = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("_text_hash") == F.col("_found_hash")), "left")
+    masked = F.when(F.col("_spans").isNotNull(), mask_spans(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    made = {"text": masked, "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(masked)).cast("bigint")} if "n_chars" in own else {"text": masked}
+    return met.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in own])

@@ -142,3 +142,29 @@ def op2_learned_partitions(spark, sf):
 
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+WORD_SQL = r"[^\x20\x09-\x0D]+"
+JACCARD_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_SQL}') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(array_to_string(w, ' '))]
+    ELSE list_distinct([hash(array_to_string(w[i:i + 4], ' ')) for i in range(1, len(w) - 3)]) END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT p, q FROM pairs UNION ALL SELECT q, p FROM pairs),
+reach(doc_id, other) AS (SELECT DISTINCT p, p FROM links UNION SELECT r.doc_id, l.q FROM reach r JOIN links l ON l.p = r.other),
+parts AS (SELECT doc_id, min(other) AS part FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(part, doc_id) AS component_id FROM sets LEFT JOIN parts USING (doc_id)"""
+
+
+@query("op6_jaccard_join", JACCARD_SQL)
+def op6_jaccard_join(spark, sf):
+    """Components of all documents linked at 80 % of their 5-word shingles."""
+    from tapewire.llm.jaccard_join import jaccard_components
+
+    found = jaccard_components(table(spark, sf, "documents"), percent=80)
+    return found.select("doc_id", "n_shingles", "component_id")
