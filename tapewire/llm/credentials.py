@@ -144,5 +144,7 @@ def mask_secrets(documents: DataFrame) -> DataFrame:
     found = stage(found.dropDuplicates(["_of", "_found_hash"]), "spans")
     met = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("_text_hash") == F.col("_found_hash")), "left")
     masked = F.when(F.col("_spans").isNotNull(), mask_spans(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    made = {"text": masked, "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(masked)).cast("bigint")} if "n_chars" in own else {"text": masked}
+    met = met.withColumn("_masked", masked)
+    length = F.length("_masked").cast("bigint")
+    made = {"text": F.col("_masked"), "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(length) if "n_chars" in own else None}
     return met.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in own])
