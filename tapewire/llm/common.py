@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import gc
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapewire.sources.files import scratch_folder
 
@@ -28,6 +32,46 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written.
+
+    It does so when the driver's garbage is collected, which a driver with little to
+    do may put off for a whole job; a long chain of steps would keep all its shuffles.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+FILTER_BITS = 1 << 26
+FILTER_PARTS = 1 << 10
+
+
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """A filter of fixed size (8 MB) that holds every id of `column`, and by chance some others.
+
+    A task packs the bits of one stretch, so the driver gets at most FILTER_PARTS
+    rows of 8 KB however many ids there are.
+    """
+    stretch = FILTER_BITS // FILTER_PARTS
+    place = ids.select(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).alias("place")).distinct()
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(stretch, np.uint8)
+        bits[rows["place"].to_numpy() % stretch] = 1
+        return pd.DataFrame({"part": [int(rows["place"].iloc[0]) // stretch], "bits": [np.packbits(bits).tobytes()]})
+
+    packed = place.groupBy(F.floor(F.col("place") / stretch)).applyInPandas(pack, "part long, bits binary")
+    out = np.zeros((FILTER_PARTS, stretch // 8), np.uint8)
+    for row in packed.collect():
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def in_filter(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether the filter holds the hashed places."""
+    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def open_store(uri: str):
     """pyarrow file system and path of a Hadoop style uri, for use inside tasks."""
     from pyarrow import fs
