@@ -65,7 +65,7 @@ def unescape_basic(text: Column) -> Column:
     return text
 
 
-def headline(title: Column, decode=unescape_basic) -> Column:
+def headline(title: Column, decode=unescape_html) -> Column:
     """Strip a trailing brand, then any trailing `- Name` of 3 to 26 characters."""
     text = strip_space(decode(F.coalesce(title, F.lit(""))))
     for suffix in (BRAND_SUFFIX, NAME_SUFFIX):
@@ -73,7 +73,7 @@ def headline(title: Column, decode=unescape_basic) -> Column:
     return squeeze(text)
 
 
-def author_name(author: Column, source: Column, decode=unescape_basic) -> Column:
+def author_name(author: Column, source: Column, decode=unescape_html) -> Column:
     """Author without `by` prefixes; junk or too short falls back to `<source> Staff`."""
     fallback = F.when(F.coalesce(source, F.lit("")) == "", "Unknown").otherwise(F.concat(source, F.lit(" Staff")))
     text = strip_space(decode(author))
@@ -83,7 +83,7 @@ def author_name(author: Column, source: Column, decode=unescape_basic) -> Column
     return F.when(usable, clean).otherwise(fallback)
 
 
-def description(text: Column, title: Column, decode=unescape_basic) -> Column:
+def description(text: Column, title: Column, decode=unescape_html) -> Column:
     """Plain description; an empty one is replaced by the title."""
     plain = F.regexp_replace(decode(text), r"<[^>]+>", " ")
     plain = F.regexp_replace(plain, r"https?://\S+", "")

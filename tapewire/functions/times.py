@@ -10,6 +10,8 @@ ISO_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX", "yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd",
 ]
+# Minutes, seconds or up to nine digits of a second, with or without an offset.
+ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
 MONTH_FORMATS = ["MMMM d yyyy h:mm a", "MMM d yyyy h:mm a"]
 MONTH_DATE = r"(?i)([A-Za-z]+ [0-9]{1,2},?\s*[0-9]{4})\s*(at\s*)?([0-9]{1,2}:[0-9]{2}(:[0-9]{2})?\s*(AM|PM))?"
 DISPLAY = r"(?i)([0-9]{4}-[0-9]{2}-[0-9]{2})\s+([0-9]{1,2}:[0-9]{2}:[0-9]{2}\s*(AM|PM)?(\s+[A-Z]{3,4})?)"
@@ -18,13 +20,14 @@ DISPLAY = r"(?i)([0-9]{4}-[0-9]{2}-[0-9]{2})\s+([0-9]{1,2}:[0-9]{2}:[0-9]{2}\s*(
 def with_colon(text: Column) -> Column:
     """Trim, cut fractions past microseconds, write offsets as +hh:mm."""
     short = F.regexp_replace(F.trim(text), r"(\.[0-9]{6})[0-9]+", "$1")
-    return F.regexp_replace(short, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    return F.regexp_replace(short, r"(:[0-9]{2}(?:\.[0-9]+)?[+-][0-9]{2})([0-9]{2})$", "$1:$2")
 
 
 def iso_timestamp(text: Column) -> Column:
     """UTC timestamp from any accepted ISO form, else null."""
     tidy = with_colon(text)
-    return F.coalesce(*[F.try_to_timestamp(tidy, F.lit(f)) for f in ISO_FORMATS])
+    plain = F.when(tidy.rlike(ISO_SHAPE), tidy.try_cast("timestamp"))
+    return F.coalesce(plain, *[F.try_to_timestamp(tidy, F.lit(f)) for f in ISO_FORMATS])
 
 
 def any_timestamp(text: Column) -> Column:

@@ -57,18 +57,36 @@ def article_id(url: Column) -> Column:
     return F.element_at(F.split(F.rtrim(without_query(url), F.lit("/")), "/"), -1)
 
 
+def without_dots(address: Column) -> Column:
+    """`.` and `..` segments of the path worked off, the query left as it is."""
+    head = F.regexp_extract(address, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    rest = F.substring(address, F.length(head) + 1, F.length(address))
+    inner = F.regexp_extract(rest, r"^([^?#]*)", 1)
+    parts = F.split(inner, "/", -1)
+    folded = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept)
+        .otherwise(F.array_append(kept, s)),
+    )
+    open_end = F.when(inner.rlike(r"/\.{1,2}$") & (F.size(folded) > 0), "/").otherwise("")
+    clean = F.concat(head, F.lit("/"), F.array_join(folded, "/"), open_end, F.substring(rest, F.length(inner) + 1, F.length(rest)))
+    return F.when(inner.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(address)
+
+
 def resolve(link: Column, base: Column) -> Column:
     """Absolute form of a link found on page `base`."""
     origin = F.concat(scheme(base), F.lit("://"), host(base))
     folder = F.regexp_replace(path(base), "[^/]*$", "")
     folder = F.when(folder == "", "/").otherwise(folder)
-    return (
-        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link))
+    joined = (
+        F.when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link))
         .when(link.startswith("/"), F.concat(origin, link))
         .when(link.rlike("^[?#]") | (link == ""), F.concat(without_query(base), link))
         .otherwise(F.concat(origin, folder, link))
     )
+    return F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).otherwise(without_dots(joined))
 
 
 def is_section_article(url: Column) -> Column:

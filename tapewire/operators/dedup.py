@@ -26,13 +26,13 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def mark_repeats(df: DataFrame, key: str, pos: str, out: str = "repeat") -> DataFrame:
-    """Flag every row of a key but the first.
+    """Flag every row of a key but the first; a null key repeats nothing.
 
     First positions are found with a partial aggregate; the join back is on
     (key, pos), which is unique, so a frequent key does not pile up in one task.
     """
     firsts = df.groupBy(key).agg(F.min(pos).alias(pos)).withColumn("_first", F.lit(True))
-    return df.join(firsts, [key, pos], "left").withColumn(out, F.col("_first").isNull()).drop("_first")
+    return df.join(firsts, [key, pos], "left").withColumn(out, F.col(key).isNotNull() & F.col("_first").isNull()).drop("_first")
 
 
 def greedy_two_key(df: DataFrame, first: str, second: str, pos: str) -> DataFrame:

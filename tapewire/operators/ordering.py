@@ -15,6 +15,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tapewire.session import cut_lineage
 
 
+def join_groups(rows: DataFrame, figures: DataFrame, group: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """Inner join of rows to the figures of their group; a null in a group column is a group of its own."""
+    renamed = figures.withColumnsRenamed({c: f"_of_{c}" for c in [*group, *also]})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group] + [F.col(c) == F.col(f"_of_{c}") for c in also]
+    return rows.join(renamed, same).drop(*[f"_of_{c}" for c in [*group, *also]])
+
+
 def running_total(
     df: DataFrame, group: Sequence[str], order: Sequence[str], weight: Column, out: str = "running"
 ) -> DataFrame:
@@ -35,7 +42,7 @@ def running_total(
     )
     local = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.join(offsets, [*group, "_range"])
+        join_groups(ranged, offsets, group, ["_range"])
         .withColumn(out, F.col("_offset") + F.sum("_w").over(local))
         .drop("_w", "_range", "_offset")
     )
@@ -58,7 +65,7 @@ def exact_quantiles(
     ranked = running_total(counted, group, [value], F.col("_n"), "_upto")
     totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
     if group:
-        ranked = ranked.join(totals, list(group))
+        ranked = join_groups(ranked, totals, group)
     else:
         ranked = ranked.withColumn("_total", F.lit(totals.first()["_total"]))
     picks, columns = [], []
@@ -101,7 +108,7 @@ def hashed_rank(df: DataFrame, group: Sequence[str], key: str, out: str = "rank"
     )
     local = Window.partitionBy(*group, "_bucket").orderBy("_hash", key)
     return (
-        marked.join(offsets, [*group, "_bucket"])
+        join_groups(marked, offsets, group, ["_bucket"])
         .withColumn(out, F.col("_offset") + F.row_number().over(local))
         .drop("_hash", "_bucket", "_offset")
     )

@@ -17,14 +17,24 @@ COST = 0.001
 
 
 def capped_weights(
-    scores: DataFrame, cap: float = MAX_WEIGHT, group: Sequence[str] = (), score: str = "score"
+    scores: DataFrame,
+    cap: float = MAX_WEIGHT,
+    group: Sequence[str] = (),
+    score: str = "score",
+    fallback: str | None = None,
 ) -> DataFrame:
     """Weights proportional to `score`, none above `cap`, the excess shared by the rest.
 
     In descending score order the capped names come first. Name i stays below the
     cap if its share of what the i-1 names above leave is at most the cap; the
     first such name fixes the scale of all names from there on. Scores up to zero get zero.
+    Where too few scores are positive to reach one under the cap, the group is weighed by
+    the column `fallback`, such as an inverse variance, instead.
     """
+    if fallback:
+        able = F.sum((F.col(score) > 0).cast("int")).over(Window.partitionBy(*group)) * cap >= 1 - 1e-12
+        chosen = scores.withColumn("_score", F.when(able, F.col(score)).otherwise(F.col(fallback)))
+        return capped_weights(chosen, cap, group, "_score").drop("_score")
     ranked = Window.partitionBy(*group).orderBy(F.desc(score), "ticker")
     onward = ranked.rowsBetween(0, Window.unboundedFollowing)
     whole = Window.partitionBy(*group)

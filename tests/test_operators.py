@@ -257,3 +257,47 @@ def test_reports(spark):
     assert ql.duplicate_profile(df, {"s": ["s"]}).first().n_duplicates == 2
     with pytest.raises(ValueError):
         ql.require_columns(df, ["absent"])
+
+
+def test_iso_stamps_with_fraction_and_offset(spark):
+    from tapewire.functions.times import iso_timestamp
+
+    stamps = {
+        "2024-01-05T10:00:00.123+02:00": "08:00:00.123000", "2024-01-05T10:00:00.123456+0200": "08:00:00.123456", "2024-01-05T10:00": "10:00:00.000000",
+        "2024-01-05T10:00:00.123456789Z": "10:00:00.123456", "2024-01-05 10:00:00.5": "10:00:00.500000", "2024-01-05T10:00-05:00": "15:00:00.000000",
+        "2024-01-05": "00:00:00.000000", "2024-13-05T10:00": None, "soon": None,
+    }
+    df = spark.createDataFrame(list(stamps.items()), "s string, want string")
+    rows = df.select("s", "want", F.date_format(iso_timestamp(F.col("s")), "HH:mm:ss.SSSSSS").alias("got")).collect()
+    assert {r["s"]: r["got"] for r in rows} == stamps
+
+
+def test_links_with_dot_segments(spark):
+    from urllib.parse import urljoin
+
+    from tapewire.functions.urls import resolve
+
+    bases, links = ["https://a.com/x/y/z", "https://a.com/"], ["../b/c", "./d", "..", "../../../e?q=../r", "/f/./g/../h", "i/..", "https://b.org/k/../l", "plain"]
+    df = spark.createDataFrame([(b, x) for b in bases for x in links], "base string, link string")
+    for r in df.select("*", resolve(F.col("link"), F.col("base")).alias("got")).collect():
+        assert r["got"] == urljoin(r["base"], r["link"]), r
+
+
+def test_null_groups_are_kept(spark):
+    from tapewire.operators.dedup import mark_repeats
+    from tapewire.operators.ordering import exact_quantiles, hashed_rank, running_total
+
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else "g", float(i)) for i in range(30)], "k long, g string, v double")
+    assert running_total(df, ["g"], ["k"], F.lit(1)).count() == 30
+    assert hashed_rank(df, ["g"], "k").where("group_size = 10 AND g IS NULL").count() == 10
+    assert {r["g"]: r["q"] for r in exact_quantiles(df, ["g"], "v", {"q": 0.5}).collect()} == {None: 13.5, "g": 15.0}
+    assert mark_repeats(df, "g", "k").where("repeat").count() == 19
+
+
+def test_weights_fall_back_to_reach_one(spark):
+    from tapewire.operators.portfolio import capped_weights
+
+    rows = [(g, f"t{i}", 1.0 if i < (10 if g == "few" else 22) else -1.0, 1.0 + i) for g in ("few", "many") for i in range(25)]
+    df = spark.createDataFrame(rows, "g string, ticker string, score double, calm double")
+    total = capped_weights(df, 0.05, ["g"], fallback="calm").groupBy("g").agg(F.sum("weight").alias("w"), F.max("weight").alias("m"))
+    assert all(abs(r["w"] - 1) < 1e-9 and r["m"] <= 0.05 + 1e-12 for r in total.collect())
