@@ -454,7 +454,7 @@ def label_encode(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "lang")
     classes = rows.select("lang").distinct()
     coded = classes.withColumn("label", F.row_number().over(Window.orderBy("lang")) - 1)
-    return rows.join(F.broadcast(coded), "lang")
+    return rows.join(coded, "lang")
 
 
 @query(
