@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -157,7 +158,7 @@ def write_ids(documents: DataFrame, vocabulary: str, end: int, folder: str | Non
                     out = store.open_output_stream(trial)
                 ids, counts = with_end(*encoder(vocabulary).encode(chunk["text"]), end)
                 key = chunk["doc_id"]
-                keys = pa.compute.fill_null(key, 0).to_numpy(zero_copy_only=False)
+                keys = pc.fill_null(key, 0).to_numpy(zero_copy_only=False)
                 held.append((keys, key.is_valid().to_numpy(zero_copy_only=False), counts, ids))
                 size += len(ids)
                 if size >= BLOCK_IDS:

@@ -17,6 +17,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
 CACHED_PIECES = 1 << 19
@@ -24,7 +25,7 @@ CACHED_PIECES = 1 << 19
 
 def text_chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of `batch` of at most `most` bytes of text each, or of one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
     upto, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < len(sizes):
         base = upto[start - 1] if start else 0
@@ -84,7 +85,7 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and their number per text; null texts have none."""
-        texts = pa.compute.fill_null(texts, "").cast(pa.large_binary())
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
         if texts.offset:
             texts = pa.concat_arrays([texts])
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
