@@ -131,8 +131,10 @@ def pack_documents(documents: DataFrame, vocabulary: str, end: int = 0, length:
         ),
     )
     columns = ["doc_id", "doc_tokens", "piece.*"]
-    alone = staged.where(F.length("body") > 0).select("doc_id", "doc_tokens", F.explode(wholes).alias("piece")).select(*columns)
-    light = staged.where(F.length("rest") > 0).select("uid", "curve", (F.length("rest") / 4).cast("bigint").alias("tokens"))
+    alone = staged.where("rest_start > 0").select("doc_id", "doc_tokens", F.explode(wholes).alias("piece")).select(*columns)
+    # From the numbers alone, so that the passes over this order leave the ids unread.
+    left = F.col("doc_tokens") - F.col("rest_start")
+    light = staged.where(left > 0).select("uid", "curve", left.alias("tokens"))
     placed = running_total(light, [], ["curve", "uid"], F.col("tokens"), "upto").select(
         "uid", "tokens", (F.col("upto") - F.col("tokens")).alias("at")
     )
