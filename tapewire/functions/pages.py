@@ -65,14 +65,21 @@ def title(html: Column) -> Column:
     return plain(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
+def attribute(tag: Column, names: str) -> Column:
+    """Value of an attribute in double, single or no quotes, null without it; `names` are alternatives."""
+    pattern = rf"""(?is)\s(?:{names})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    value = F.concat(*[F.regexp_extract(tag, pattern, form) for form in (1, 2, 3)])
+    return F.when(tag.rlike(pattern), value)
+
+
 def meta_tags(html: Column) -> Column:
     """(key, content) of every meta tag, in page order."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), F.lit(0))
     return F.transform(
         tags,
         lambda t: F.struct(
-            F.regexp_extract(t, r'(?i)\s(property|name)="([^"]*)"', 2).alias("key"),
-            unescape_basic(F.regexp_extract(t, r'(?i)\scontent="([^"]*)"', 1)).alias("content"),
+            F.coalesce(attribute(t, "property|name"), F.lit("")).alias("key"),
+            unescape_basic(F.coalesce(attribute(t, "content"), F.lit(""))).alias("content"),
         ),
     )
 
@@ -127,7 +134,7 @@ def article_summary(html: Column) -> Column:
 
 def ld_items(html: Column) -> Column:
     """Items of all well-formed JSON-LD blocks: a block is one object or a list of them."""
-    pattern = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
+    pattern = r"""(?is)<script[^>]*type=["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
     blocks = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
     valid = F.filter(blocks, lambda b: F.try_parse_json(b).isNotNull())
     return F.flatten(F.transform(valid, lambda b: F.from_json(b, f"array<{LD_ITEM}>")))
@@ -160,10 +167,16 @@ class _Fallbacks(HTMLParser):
     """Collects the `<time>` values and the text of the first byline element."""
 
     VOID = {"br", "img", "meta", "link", "input", "hr"}
+    # Elements whose end tag may be left out: these starts, and the end of any container, close them.
+    CONTAINERS = {"article", "aside", "body", "div", "dl", "footer", "header", "html", "main", "ol", "section", "table", "tr", "ul"}
+    CLOSED_BY = {
+        "p": CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "form", "blockquote"},
+        "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
+    }
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.times, self.byline, self.depth, self.in_time = [], None, 0, False
+        self.times, self.byline, self.open, self.in_time = [], None, [], False
 
     def is_byline(self, tag, attrs):
         named = set((attrs.get("class") or "").split()) & set(BYLINE_CLASSES)
@@ -177,20 +190,25 @@ class _Fallbacks(HTMLParser):
             self.times.append(attrs.get("datetime") or "")
         if tag in self.VOID:
             return
-        if self.depth:
-            self.depth += 1
+        while self.open and tag in self.CLOSED_BY.get(self.open[-1], ()):
+            self.open.pop()
+        if self.open:
+            self.open.append(tag)
         elif self.byline is None and self.is_byline(tag, attrs):
-            self.byline, self.depth = "", 1
+            self.byline, self.open = "", [tag]
 
     def handle_endtag(self, tag):
         self.in_time = self.in_time and tag != "time"
-        if self.depth and tag not in self.VOID:
-            self.depth -= 1
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+        elif tag in self.CONTAINERS and self.open and self.open[0] in self.CLOSED_BY:
+            self.open.clear()
 
     def handle_data(self, data):
         if self.in_time:
             self.times[-1] += data.strip()
-        if self.depth:
+        if self.open:
             self.byline += data.strip()
 
 

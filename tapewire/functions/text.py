@@ -83,6 +83,11 @@ def author_name(author: Column, source: Column, decode=unescape_html) -> Column:
     return F.when(usable, clean).otherwise(fallback)
 
 
+def listed_authors(authors: Column) -> Column:
+    """Authors given as a list, as one name for `author_name`: filled entries, comma-joined."""
+    return F.array_join(F.filter(F.transform(authors, strip_space), lambda a: a.isNotNull() & (a != "")), ", ")
+
+
 def description(text: Column, title: Column, decode=unescape_html) -> Column:
     """Plain description; an empty one is replaced by the title."""
     plain = F.regexp_replace(decode(text), r"<[^>]+>", " ")

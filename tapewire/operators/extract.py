@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapewire.functions import pages as pg
 from tapewire.functions import times as tm
@@ -97,7 +97,8 @@ def enrich(feed: DataFrame, records: DataFrame, as_of: str) -> DataFrame:
 
 def page_links(html_pages: DataFrame) -> DataFrame:
     """Distinct absolute links per page with both article tests."""
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1))
+    anchors = F.regexp_extract_all(F.col("html"), F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
+    hrefs = F.array_compact(F.transform(anchors, lambda a: pg.attribute(a, "href")))
     found = html_pages.select("page_id", "url", F.explode(F.array_distinct(hrefs)).alias("href"))
     link = ur.resolve(F.col("href"), F.col("url"))
     return found.select("page_id", link.alias("link")).distinct().select(
@@ -106,3 +107,34 @@ def page_links(html_pages: DataFrame) -> DataFrame:
         ur.is_section_article(F.col("link")).alias("section_article"),
         ur.is_dated_article(F.col("link")).alias("dated_article"),
     )
+
+
+def first_links(links: DataFrame, n: int) -> DataFrame:
+    """The first `n` of the sorted distinct links; every task hands on at most `n`."""
+    return links.select("link").distinct().orderBy("link").limit(n)
+
+
+def feed_fields(items: DataFrame, body: str) -> DataFrame:
+    """Title, time and link of feed items whose fields lie under `content` or on top.
+
+    An item without `content` is its own content. The nested value wins where it is
+    filled; the link is that of `canonicalUrl` where that is an object, else `link`.
+    Items without a title go, and so does text that is not JSON.
+    """
+    raw = F.col(body)
+    nested = F.get_json_object(raw, "$.content").isNotNull()
+
+    def inner(name: str) -> Column:
+        return F.when(nested, F.get_json_object(raw, f"$.content.{name}")).otherwise(F.get_json_object(raw, f"$.{name}"))
+
+    def filled(*values: Column) -> Column:
+        return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
+
+    canonical = inner("canonicalUrl")
+    link = F.when(canonical.startswith("{"), inner("canonicalUrl.url")).otherwise(inner("link"))
+    return items.select(
+        *[c for c in items.columns if c != body],
+        filled(inner("title"), F.get_json_object(raw, "$.title")).alias("title"),
+        filled(inner("pubDate"), inner("providerPublishTime"), F.get_json_object(raw, "$.providerPublishTime")).alias("published"),
+        F.coalesce(link, F.lit("")).alias("link"),
+    ).where("title IS NOT NULL")

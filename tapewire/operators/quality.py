@@ -56,19 +56,24 @@ def clean_articles(raw: DataFrame, canonical_first: bool = False, min_words: int
 
 
 def cleaning_report(raw: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows before and after each rule: one pass with flags instead of a count per stage."""
-    rows = mark_repeats(tx.blank_if_null(raw, ["url", "content"]), "url", "pos")
+    """Rows before and after each rule: one pass with flags instead of a count per stage.
+
+    The last rule counts each (title, content) once, told apart by digests, not by whole texts.
+    """
+    rows = mark_repeats(tx.blank_if_null(raw, ["url", "title", "content"]), "url", "pos")
     content = tx.squeeze(F.col("content"))
     flagged = rows.select(
         (~F.col("repeat")).alias("unique_url"),
         ((F.col("url") != "") & (content != "")).alias("filled"),
         (tx.word_count(content) >= min_words).alias("long_enough"),
+        F.sha2(F.to_json(F.struct(tx.squeeze(F.col("title")).alias("t"), content.alias("c"))), 256).alias("_pair"),
     )
     kept = F.col("unique_url")
     stages = [("unique_url", kept), ("filled", kept & F.col("filled"))]
     stages.append(("long_enough", kept & F.col("filled") & F.col("long_enough")))
-    totals = flagged.agg(F.count("*").alias("loaded"), *[F.count_if(c).alias(n) for n, c in stages])
-    names = ["loaded", *[n for n, _ in stages]]
+    last = F.count_distinct(F.when(stages[-1][1], F.col("_pair"))).alias("unique_text")
+    totals = flagged.agg(F.count("*").alias("loaded"), *[F.count_if(c).alias(n) for n, c in stages], last)
+    names = ["loaded", *[n for n, _ in stages], "unique_text"]
     pairs = [
         F.struct(F.lit(b).alias("stage"), F.col(a).alias("rows_before"), F.col(b).alias("rows_after"))
         for a, b in zip(names, names[1:])

@@ -398,10 +398,11 @@ def clean_articles(spark, sf):
     "cleaning_report",
     f"""WITH {nw.ARTICLES_SQL},
 f AS (SELECT row_number() OVER (PARTITION BY url ORDER BY pos) = 1 AS a, url <> '' AND {sq("text")} <> '' AS b,
-  len({words_sql(sq("text"))}) >= 20 AS c FROM articles),
-t AS (SELECT count(*) AS n0, count(*) FILTER (a) AS n1, count(*) FILTER (a AND b) AS n2, count(*) FILTER (a AND b AND c) AS n3 FROM f)
+  len({words_sql(sq("text"))}) >= 20 AS c, {sq("title")} AS t, {sq("text")} AS x FROM articles),
+t AS (SELECT count(*) AS n0, count(*) FILTER (a) AS n1, count(*) FILTER (a AND b) AS n2, count(*) FILTER (a AND b AND c) AS n3,
+  (SELECT count(*) FROM (SELECT DISTINCT t, x FROM f WHERE a AND b AND c)) AS n4 FROM f)
 SELECT * FROM (SELECT 'unique_url' AS stage, n0 AS rows_before, n1 AS rows_after, n0 - n1 AS removed FROM t
-UNION ALL SELECT 'filled', n1, n2, n1 - n2 FROM t UNION ALL SELECT 'long_enough', n2, n3, n2 - n3 FROM t)""",
+UNION ALL SELECT 'filled', n1, n2, n1 - n2 FROM t UNION ALL SELECT 'long_enough', n2, n3, n2 - n3 FROM t UNION ALL SELECT 'unique_text', n3, n4, n3 - n4 FROM t)""",
 )
 def cleaning_report(spark, sf):
     return ql.cleaning_report(raw_articles(spark, sf))

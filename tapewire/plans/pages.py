@@ -16,16 +16,17 @@ from tapewire.sources.tables import BARS_SQL, bars, table
 
 # A head block per page, so that every page carries structured data or lacks it in a known way.
 ID = "CAST(page_id AS STRING)"
+Q = "' || chr(39) || '"  # a single quote inside a literal of either dialect
 LD_OPEN = '<script type="application/ld+json">'
 BLOCK = f"""CASE page_id % 6
  WHEN 0 THEN '{LD_OPEN}{{"@type":"NewsArticle","headline":"Story ' || {ID} || '","datePublished":"2024-01-05T10:00:00Z","dateModified":"2024-01-06T00:00:00Z","author":{{"@type":"Person","name":"Ann Lee"}},"description":"About ' || {ID} || '","articleBody":"Body ' || {ID} || '"}}</script>'
  WHEN 1 THEN '{LD_OPEN}[{{"@type":"WebSite","name":"x"}},{{"@type":"Article","headline":"Item ' || {ID} || '","dateCreated":"2024-07-05T10:00:00Z","author":[{{"name":"Bo Ray"}},{{"name":"Cy Fox"}}],"articleBody":"Long body ' || {ID} || '"}}]</script>'
  WHEN 2 THEN '{LD_OPEN}{{"@context":"x","@graph":[{{"@type":"ReportageNewsArticle","headline":"Graph ' || {ID} || '","uploadDate":"2024-03-01","author":"Dee Hill"}}]}}</script>'
  WHEN 3 THEN '{LD_OPEN}{{"headline":"cut off</script><meta name="date" content="2024-02-02">'
- WHEN 4 THEN '<meta property="og:title" content="Meta ' || {ID} || '"><meta property="article:published_time" content="2024-06-01T08:00:00+02:00"><meta name="author" content="Fay Gold"><meta name="description" content="Told ' || {ID} || '">'
+ WHEN 4 THEN '<meta property="og:title" content="Meta ' || {ID} || '"><meta property="article:published_time" content="2024-06-01T08:00:00+02:00"><meta name=author content="Fay Gold"><meta content={Q}Told ' || {ID} || '{Q} name={Q}description{Q}>'
  ELSE '{LD_OPEN}{{bad</script>{LD_OPEN}{{"@type":"NewsArticle","headline":"Second ' || {ID} || '","datePublished":"junk","author":["Eve Moss","Gil Park"]}}</script>' END"""
 MARKED = f"replace(html, '<head>', '<head>' || {BLOCK})"
-TIMED = "replace(html, '<article>', '<article><p class=\"byline\">Hal <b>Ives</b></p><time datetime=\"2024-04-0' || CAST(1 + page_id % 9 AS STRING) || '\">soon</time>')"
+TIMED = "replace(html, '<article>', '<article><p class=\"byline\">Hal <b>Ives</b>' || CASE page_id % 2 WHEN 0 THEN '</p>' ELSE '<p>' END || '<time datetime=\"2024-04-0' || CAST(1 + page_id % 9 AS STRING) || '\">soon</time>')"
 
 
 def marked_pages(spark, sf):
@@ -152,23 +153,46 @@ def enrich_articles(spark, sf):
     return ex.enrich(feed, ex.page_records(marked_pages(spark, sf)), "2024-12-31 10:30:00 AM EST")
 
 
-LINKED = """replace(html, '</nav>', '<a href="/news/articles/c' || CAST(page_id AS STRING) || '">a</a><a class="x" href="//www.bbc.com/news/articles/d1?at=1">b</a><a href="https://www.cnn.com/2024/01/02/world/s' || CAST(page_id AS STRING) || '">c</a><a href="more">d</a></nav>')"""
+LINKED = f"""replace(html, '</nav>', '<a href="/news/articles/c' || CAST(page_id AS STRING) || '">a</a><a class="x" href={Q}//www.bbc.com/news/articles/d1?at=1{Q}>b</a><a href="https://www.cnn.com/2024/01/02/world/s' || CAST(page_id AS STRING) || '">c</a><a href=more>d</a><a name="top">e</a></nav>')"""
 
 
-@query(
-    "page_links",
-    f"""WITH h AS (SELECT page_id, url, unnest(list_distinct(regexp_extract_all({LINKED}, '(?i)<a\\s[^>]*href="([^"]*)"', 1))) AS href FROM pages),
+LINKS_SQL = f"""WITH h AS (SELECT page_id, url, unnest(list_distinct(list_transform(
+  regexp_extract_all({LINKED}, '(?i)<a(?:\\s[^>]*?)?\\shref=("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), lambda h: trim(h, chr(34) || chr(39))))) AS href FROM pages),
 l AS (SELECT DISTINCT page_id, CASE WHEN href LIKE 'http%:%' THEN href WHEN href LIKE '//%' THEN split_part(url, ':', 1) || ':' || href
   WHEN href LIKE '/%' THEN split_part(url, ':', 1) || '://' || {HOST} || href
   WHEN href = '' OR href LIKE '#%' OR href LIKE '?%' THEN regexp_replace(url, '[?#].*$', '') || href
   ELSE split_part(url, ':', 1) || '://' || {HOST} || regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', '') || href END AS link FROM h)
 SELECT page_id, link, contains(link, 'bbc.com') AND contains(link, '/news/') AND contains(link, '/articles/') AS section_article,
-  regexp_matches(link, '^https://www\\.cnn\\.com/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/[^/]+/[^/?#]+') AS dated_article FROM l""",
-)
+  regexp_matches(link, '^https://www\\.cnn\\.com/[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}/[^/]+/[^/?#]+') AS dated_article FROM l"""
+
+
+@query("page_links", LINKS_SQL)
 def page_links(spark, sf):
     return ex.page_links(table(spark, sf, "pages").select("page_id", "url", F.expr(LINKED).alias("html")))
 
 
+@query("first_links", f"SELECT DISTINCT link FROM ({LINKS_SQL}) ORDER BY link LIMIT 50")
+def first_links(spark, sf):
+    """The first 50 of the sorted distinct links: the report is the limit."""
+    return ex.first_links(page_links(spark, sf), 50)
+
+
+@query(
+    "feed_fields",
+    f"""WITH {nw.ARTICLES_SQL} SELECT pos, title, CASE WHEN pos % 3 = 1 THEN '17' ELSE published END AS published,
+  CASE pos % 3 WHEN 0 THEN url WHEN 1 THEN '' ELSE url || '/f' END AS link FROM articles WHERE title <> '' AND published <> ''""",
+)
+def feed_fields(spark, sf):
+    """Items in three shapes: nested with a canonical url, nested without one, flat."""
+    nested = F.to_json(F.struct(F.struct("title", F.col("published").alias("pubDate"), F.struct("url").alias("canonicalUrl")).alias("content")))
+    bare = F.to_json(F.struct(F.struct("title").alias("content"), F.lit(17).alias("providerPublishTime")))
+    flat = F.to_json(F.struct("title", F.col("published").alias("pubDate"), F.concat("url", F.lit("/f")).alias("link")))
+    third = F.col("pos") % 3
+    body = F.when(third == 0, nested).when(third == 1, bare).otherwise(flat)
+    items = nw.articles(spark, sf).where("title <> '' AND published <> ''").select("pos", body.alias("body"))
+    return ex.feed_fields(items, "body")
+
+
 # ---- sources and sinks ----------------------------------------------------
 
 

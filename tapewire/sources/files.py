@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -104,3 +105,16 @@ def write_json(df: DataFrame, folder: str, as_of: str) -> str:
     df.write.json(f"{folder}/articles")
     export_metadata(df, as_of).write.json(f"{folder}/metadata")
     return folder
+
+
+def write_reports(reports: dict[str, DataFrame], folder: str) -> str:
+    """Several report tables under one folder, each as CSV with a header in a folder of its name."""
+    for name, rows in reports.items():
+        write_csv(rows, f"{folder}/{name}", rows.columns)
+    return folder
+
+
+def write_run_record(spark: SparkSession, folder: str, record: dict) -> str:
+    """What a run was given and what it found, as one JSON row; nested values stay nested."""
+    spark.createDataFrame([(json.dumps(record, sort_keys=True),)], "value string").write.text(folder)
+    return folder

@@ -301,3 +301,36 @@ def test_weights_fall_back_to_reach_one(spark):
     df = spark.createDataFrame(rows, "g string, ticker string, score double, calm double")
     total = capped_weights(df, 0.05, ["g"], fallback="calm").groupBy("g").agg(F.sum("weight").alias("w"), F.max("weight").alias("m"))
     assert all(abs(r["w"] - 1) < 1e-9 and r["m"] <= 0.05 + 1e-12 for r in total.collect())
+
+
+def test_attributes_in_every_quoting(spark):
+    html = """<meta name='author' content='Al "B" Cox'><meta name=date content=2024-01-02><META content="x" NAME = "byl"><meta name="bare">"""
+    tags = one(spark, html, pg.meta_tags)
+    assert [(t.key, t.content) for t in tags] == [("author", 'Al "B" Cox'), ("date", "2024-01-02"), ("byl", "x"), ("bare", "")]
+
+
+@pytest.mark.parametrize(
+    "html, byline",
+    [
+        ('<p class="byline">Hal Ives<p>Body one<p>two', "Hal Ives"),
+        ('<div><p class="byline">Hal Ives</div>Body', "Hal Ives"),
+        ('<ul><li class=author>Jo <b>Fry</b><li>next</ul>', "JoFry"),
+        ('<span class="byline">Ann</b> Lee</span>Body', "AnnLee"),
+        ('<div class="byline"><p>Ann<p>Lee</div>Body', "AnnLee"),
+    ],
+)
+def test_byline_ends_with_its_element(spark, html, byline):
+    assert one(spark, html, pg.fallbacks).byline == byline
+
+
+def test_listed_authors(spark):
+    row = spark.createDataFrame([([" By Ann Lee ", None, "", "Bo Ray"],), ([],), (None,)], "a array<string>")
+    names = [r[0] for r in row.select(tx.author_name(tx.listed_authors(F.col("a")), F.lit("BBC"))).collect()]
+    assert names[:2] == ["Ann Lee, Bo Ray", "BBC Staff"]
+
+
+def test_cleaning_report_counts_texts_once(spark):
+    text = "word " * 20
+    rows = [(1, "u1", "t", text), (2, "u1", "t", text), (3, "u2", "t ", text), (4, "u3", "o", text), (5, "u4", "o", "short"), (6, None, None, None)]
+    report = ql.cleaning_report(spark.createDataFrame(rows, "pos long, url string, title string, content string"))
+    assert [(r.stage, r.rows_after) for r in report.collect()] == [("unique_url", 5), ("filled", 4), ("long_enough", 3), ("unique_text", 2)]

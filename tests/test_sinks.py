@@ -44,3 +44,14 @@ def test_history_restarts_from_its_checkpoint(spark):
         batch.write.mode("append").parquet(f"{folder}/in")
         inc.run_batches(inc.arrivals(spark, f"{folder}/in", batch.schema), folder, batch.schema, step)
     assert sorted(r.k for r in inc.read_table(spark, folder).select(F.col("k")).collect()) == ["a", "b", "c"]
+
+
+def test_reports_and_run_record(spark):
+    one, two = spark.createDataFrame([("a, b", 1)], "k string, n int"), spark.createDataFrame([], "x double")
+    folder = fl.write_reports({"one": one, "two": two}, fl.scratch_folder(spark, "reports"))
+    assert fl.read_csv(spark, f"{folder}/one", "k string, n int").collect() == one.collect()
+    assert fl.read_csv(spark, f"{folder}/two", "x double").count() == 0
+    record = {"settings": {"k": 3}, "score": 0.5}
+    back = spark.read.json(fl.write_run_record(spark, fl.scratch_folder(spark, "run"), record)).first().asDict(True)
+    assert back == record
+
