@@ -6,7 +6,7 @@ the mean distance of a point to a cluster follows from the cluster's sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -14,6 +14,10 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tapewire.session import side_by_side
+
+KS = range(2, 16)  # fixed value: numbers of clusters that the method tries
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
@@ -72,14 +76,18 @@ def with_features(df: DataFrame, vector: str) -> DataFrame:
 
 
 def kmeans_sweep(points: DataFrame, ks: Sequence[int], restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Inertia (best of the restarts) and silhouette per k. Each fit is distributed; the loop is over k."""
+    """Inertia (best of the restarts) and silhouette per k. Each fit is distributed; a few run side by side."""
     points = points.persist()
     scorer = ClusteringEvaluator(predictionCol="cluster")
-    rows = []
-    for k in ks:
-        fits = [KMeans(k=k, seed=seed + r, predictionCol="cluster").fit(points) for r in range(restarts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        rows.append((k, float(best.summary.trainingCost), float(scorer.evaluate(best.transform(points)))))
+
+    def fit(setting: tuple[int, int]):
+        model = KMeans(k=setting[0], seed=seed + setting[1], predictionCol="cluster").fit(points)
+        return model, float(model.summary.trainingCost)
+
+    fits = side_by_side(fit, [(k, r) for k in ks for r in range(restarts)])
+    best = [min(fits[i * restarts : (i + 1) * restarts], key=lambda f: f[1]) for i in range(len(ks))]
+    scores = side_by_side(lambda f: float(scorer.evaluate(f[0].transform(points))), best)
+    rows = [(k, cost, score) for k, (_, cost), score in zip(ks, best, scores)]
     points.unpersist()
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -93,6 +101,20 @@ def hierarchical_labels(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return BisectingKMeans(k=k, seed=seed, predictionCol="cluster").fit(points).transform(points)
 
 
+def best_labels(points: DataFrame, label: Callable[[DataFrame, int], DataFrame], ks: Sequence[int] = KS) -> tuple[DataFrame, int, float]:
+    """Labels by `label(points, k)` for the k of the highest silhouette, with that k and value; ties to the smaller k."""
+    points = points.persist()
+    scorer = ClusteringEvaluator(predictionCol="cluster")
+
+    def judge(k: int):
+        labels = label(points, k)
+        return labels, k, float(scorer.evaluate(labels))
+
+    found = max(side_by_side(judge, list(ks)), key=lambda j: (j[2], -j[1]))
+    points.unpersist()
+    return found
+
+
 def pca(points: DataFrame, k: int, fit_on: DataFrame | None = None):
     """Fitted PCA model and the projected points; the driver holds one d x d matrix."""
     model = PCA(k=k, inputCol="features", outputCol="pca").fit(points if fit_on is None else fit_on)

@@ -1,7 +1,8 @@
 """Queries that fit models: no SQL twin, checked by the tests.
 
-Search spaces are shortened here (fewer rounds, trees and settings than the
-operators' defaults); all of them run over the whole tables.
+Fits have the operators' defaults. The two searches are shorter than the method's
+spaces, and so are `clf_mlp`, `gbt_scores` and the forest of `score_headlines`; all
+of them run over the whole tables.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def clf_tree(spark, sf):
 @query("clf_forest")
 def clf_forest(spark, sf):
     train, test = text_sets(spark, sf)
-    return ln.fit_predict(ln.forest(trees=20, depth=12), train, test, "doc_id")
+    return ln.fit_predict(ln.forest(), train, test, "doc_id")
 
 
 IPO_COLUMNS = ["issue_size", "qib", "hni", "rii", "total", "offer_price", "avg_subscription"]
@@ -71,7 +72,7 @@ def ipo_points(spark, sf):
 @query("clf_gbt")
 def clf_gbt(spark, sf):
     points = ipo_points(spark, sf)
-    model = ln.boosted(10).setWeightCol("weight")
+    model = ln.boosted().setWeightCol("weight")
     return ln.fit_predict(model, points.where("fold > 0"), points.where("fold = 0"), "ipo_name")
 
 
@@ -102,12 +103,12 @@ def tune_random(spark, sf):
 
 @query("oof_probs")
 def oof_probs(spark, sf):
-    return rounded(ln.out_of_fold(ln.boosted(5).setWeightCol("weight"), ipo_points(spark, sf), "ipo_name"), "prob")
+    return rounded(ln.out_of_fold(ln.boosted().setWeightCol("weight"), ipo_points(spark, sf), "ipo_name"), "prob")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    model = ln.boosted(10).setWeightCol("weight").fit(ipo_points(spark, sf))
+    model = ln.boosted().setWeightCol("weight").fit(ipo_points(spark, sf))
     return ln.importances(model, IPO_COLUMNS, spark)
 
 
@@ -142,7 +143,7 @@ def svd_embed(spark, sf):
     return ln.truncated_svd(vz.tfidf(rows, "doc_id", "text", CLUSTER), "doc_id", 100)[0]
 
 
-def pca_fit(spark, sf, k=32):
+def pca_fit(spark, sf, k=64):
     points = cut_lineage(ev.tail_holdout(embedding_points(spark, sf), ["vec_id"]))
     return cl.pca(points, k, points.where("part = 'train'"))
 
@@ -157,37 +158,45 @@ def pca_cumvar(spark, sf):
     return cl.explained(pca_fit(spark, sf)[0], spark)
 
 
+@query("pca_plane")
+def pca_plane(spark, sf):
+    """The first two components, as a scatter plot takes them."""
+    first = pca_fit(spark, sf, 2)[1]
+    return first.select("vec_id", F.col("pca")[0].alias("x"), F.col("pca")[1].alias("y"))
+
+
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    return cl.kmeans_sweep(embedding_points(spark, sf), range(2, 9), restarts=1)
+    return cl.kmeans_sweep(embedding_points(spark, sf), cl.KS)
 
 
 @query("hier_cluster")
 def hier_cluster(spark, sf):
-    return cl.hierarchical_labels(embedding_points(spark, sf), 10).select("vec_id", "cluster")
+    return cl.best_labels(embedding_points(spark, sf), cl.hierarchical_labels)[0].select("vec_id", "cluster")
 
 
 def text_points(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "text")
-    embedded = ln.truncated_svd(vz.tfidf(rows, "doc_id", "text", CLUSTER), "doc_id", 20)[0]
+    embedded = ln.truncated_svd(vz.tfidf(rows, "doc_id", "text", CLUSTER), "doc_id", 100)[0]
     return cut_lineage(cl.with_features(embedded, "embedding").select("doc_id", "features"))
 
 
 @query("clustered_titles")
 def clustered_titles(spark, sf):
     points = text_points(spark, sf)
-    flat = cl.kmeans_labels(points, 4).select("doc_id", F.col("cluster").alias("kmeans"))
-    nested = cl.hierarchical_labels(points, 4).select("doc_id", F.col("cluster").alias("hierarchical"))
+    flat, nested = (
+        cl.best_labels(points, label)[0].select("doc_id", F.col("cluster").alias(name))
+        for name, label in (("kmeans", cl.kmeans_labels), ("hierarchical", cl.hierarchical_labels))
+    )
     titles = nw.docs(spark, sf).select("doc_id", "title")
     return titles.join(flat, "doc_id").join(nested, "doc_id")
 
 
 @query("cluster_summary")
 def cluster_summary(spark, sf):
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
     points = embedding_points(spark, sf)
-    scorer = ClusteringEvaluator(predictionCol="cluster")
-    runs = {"kmeans": cl.kmeans_labels(points, 10), "hierarchical": cl.hierarchical_labels(points, 10)}
-    rows = [(n, "k=10", r.select("cluster").distinct().count(), float(scorer.evaluate(r))) for n, r in runs.items()]
+    rows = []
+    for name, label in (("kmeans", cl.kmeans_labels), ("hierarchical", cl.hierarchical_labels)):
+        labels, k, score = cl.best_labels(points, label)
+        rows.append((name, f"k={k}", labels.select("cluster").distinct().count(), score))
     return spark.createDataFrame(rows, "algorithm string, parameters string, n_clusters bigint, silhouette double")

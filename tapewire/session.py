@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -16,6 +20,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+T, R = TypeVar("T"), TypeVar("R")
+
 
 def build_session(app: str = "tapewire", master: str | None = None, **settings: str) -> SparkSession:
     """Session with UTC, ANSI and AQE on; on a cluster leave `master` to spark-submit."""
@@ -46,3 +52,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and go on from the written rows."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def side_by_side(work: Callable[[T], R], items: Sequence[T], at_once: int = 8) -> list[R]:
+    """Results of `work` for all items in their order, a few Spark jobs at a time."""
+    with ThreadPool(min(at_once, max(1, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(work), items)

@@ -334,3 +334,13 @@ def test_cleaning_report_counts_texts_once(spark):
     rows = [(1, "u1", "t", text), (2, "u1", "t", text), (3, "u2", "t ", text), (4, "u3", "o", text), (5, "u4", "o", "short"), (6, None, None, None)]
     report = ql.cleaning_report(spark.createDataFrame(rows, "pos long, url string, title string, content string"))
     assert [(r.stage, r.rows_after) for r in report.collect()] == [("unique_url", 5), ("filled", 4), ("long_enough", 3), ("unique_text", 2)]
+
+
+def test_best_labels_finds_the_number_of_blobs(spark):
+    rng = random.Random(1)
+    rows = [(i, [float(10 * (i % 3)) + rng.random(), rng.random()]) for i in range(60)]
+    points = cl.with_features(spark.createDataFrame(rows, "id int, v array<double>"), "v")
+    for label in (cl.kmeans_labels, cl.hierarchical_labels):
+        labels, k, score = cl.best_labels(points, label, [2, 3, 4])
+        assert k == 3 and score > 0.9
+        assert labels.groupBy("cluster").count().count() == 3
