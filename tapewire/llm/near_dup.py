@@ -1,25 +1,30 @@
-"""Near-duplicate vectors by a forest of random-projection trees.
+"""Near-duplicate vectors by a random-projection tree with exact comparison of its leaves.
 
-Exactly equal vectors are one row first. Every tree splits the vectors of a label
-by random projections at the median, rows near the median going to both sides, until
-a leaf is small. Vectors are compared inside leaves only; a pair that shares leaves
-of several trees is counted in the first of them, so leaves hand on one row per
-vector and no pairs. Links are then united to components.
+Exactly equal vectors are one row first. A tree splits the vectors of a label by
+random projections at the median until a leaf is small; leaves do not overlap. Two
+leaves are compared whole, row by row, unless their centres are further apart than
+their radii and the threshold allow, so no link is missed. A comparison hands on
+one row per vector and no pairs. Links are then united to components.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tapewire.llm.common import stage
+from tapewire.llm.common import open_store, shared_folder, stage
 from tapewire.llm.components import connected_components
 
 THRESHOLD = 0.98
-TREES = 6
-LEAF = 256
-SPILL = 0.05  # share of a node's rows on either side of the median that go both ways
+LEAF = 2048
+ROUNDING = 1e-6  # by which two leaves count as nearer than their centres and radii say
+STRIP = 512  # rows of a leaf that meet the other leaf at once
+STRETCH = 16  # leaves that a task compares with one
 SAMPLE = 2048  # rows of a node that its splits are fitted on
 LEAST_PER_LEAF = 32  # of the sample
 SEED = 17
@@ -53,18 +58,17 @@ def _fit(leaf: int):
         cell, size = int(rows["cell"].iloc[0]), int(rows["size"].iloc[0])
         x, gids = unit_rows(rows["vector"]), rows["gid"].to_numpy()
         depth = min(int(np.ceil(np.log2(size / leaf))), max(1, int(np.log2(len(x) / LEAST_PER_LEAF))))
-        low, high = [], []
+        cuts = []
         level = [np.arange(len(x))]
         for d in range(depth):
             below = []
             for i, at in enumerate(level):
                 place = _places(x[at], gids[at], cell, (1 << d) + i)
-                a, b = np.quantile(place, [0.5 - SPILL, 0.5 + SPILL]) if len(at) else (0.0, 0.0)
-                low.append(a)
-                high.append(b)
-                below += [at[place <= b], at[place >= a]]
+                cut = np.median(place) if len(at) else 0.0
+                cuts.append(cut)
+                below += [at[place <= cut], at[place > cut]]
             level = below
-        return pd.DataFrame({"cell": [cell], "low": [low], "high": [high]})
+        return pd.DataFrame({"cell": [cell], "cuts": [cuts]})
 
     return fit
 
@@ -72,37 +76,36 @@ def _fit(leaf: int):
 def _route(batches):
     for batch in batches:
         out = []
-        plain = batch["low"].isna()
+        plain = batch["cuts"].isna()
         if plain.any():
-            out.append(batch.loc[plain, ["gid", "tree", "cell"]])
+            out.append(batch.loc[plain, ["gid", "cell"]])
         for cell, rows in batch[~plain].groupby("cell"):
-            x, gids, tree = unit_rows(rows["vector"]), rows["gid"].to_numpy(), rows["tree"].to_numpy()
-            low, high = np.asarray(rows["low"].iloc[0]), np.asarray(rows["high"].iloc[0])
+            x, gids = unit_rows(rows["vector"]), rows["gid"].to_numpy()
+            cuts = np.asarray(rows["cuts"].iloc[0])
             level, first = [np.arange(len(x))], 1
-            while first <= len(low):
+            while first <= len(cuts):
                 below = []
                 for i, at in enumerate(level):
                     place = _places(x[at], gids[at], cell, first + i)
-                    below += [at[place <= high[first + i - 1]], at[place >= low[first + i - 1]]]
+                    below += [at[place <= cuts[first + i - 1]], at[place > cuts[first + i - 1]]]
                 level, first = below, first * 2
             for i, at in enumerate(level):
                 child = (np.uint64(cell & (2**64 - 1)) + np.uint64(i + 1)) * np.uint64(0xD6E8FEB86659FD93)
                 child = int((child ^ (child >> np.uint64(32))).view(np.int64))
-                out.append(pd.DataFrame({"gid": gids[at], "tree": tree[at], "cell": child}))
+                out.append(pd.DataFrame({"gid": gids[at], "cell": child}))
         if out:
             yield pd.concat(out)
 
 
-def grow_forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """gid, tree, cell: the leaves of every vector, none of over 2 * leaf rows.
+def grow_tree(vectors: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """gid, cell: the leaf of every vector, none of over 2 * leaf rows.
 
     `vectors` needs gid, grp (only equal ones are compared), vector. A round splits
     all cells that are too large at once: splits come from at most SAMPLE rows of the
     cell, chosen by hash, and every row is sent down by them. A label with a third
     of all rows is just a cell that needs another round.
     """
-    start = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    cells = stage(vectors.select("gid", start.alias("tree"), "grp").select("gid", "tree", F.xxhash64("grp", "tree").alias("cell")), "cells")
+    cells = stage(vectors.select("gid", F.xxhash64("grp").alias("cell")), "cells")
     vectors = vectors.select("gid", "vector")
     while True:
         sizes = cells.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > 2 * leaf)
@@ -113,54 +116,135 @@ def grow_forest(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF) -> Dat
         # Small keys are ranked; vectors join only what is kept.
         drawn = cells.join(large, "cell").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE)
         rules = drawn.select("cell", "size", "gid").join(vectors, "gid").groupBy("cell")
-        rules = stage(rules.applyInPandas(_fit(leaf), "cell long, low array<double>, high array<double>"), "splits")
+        rules = stage(rules.applyInPandas(_fit(leaf), "cell long, cuts array<double>"), "splits")
         met = cells.join(rules, "cell", "left").join(vectors, "gid")
-        cells = stage(met.mapInPandas(_route, "gid long, tree int, cell long"), "cells")
+        cells = stage(met.mapInPandas(_route, "gid long, cell long"), "cells")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    out = np.empty((len(x), len(y)), bool)
+    for at in range(0, len(x), STRIP):
+        out[at : at + STRIP] = x[at : at + STRIP] @ y.T >= threshold
+    return out
+
+
+def _roots(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id reachable from every row and column; each is visited once."""
+    row_root, column_root = rows.copy(), columns.copy()
+    new_row, new_column = linked.any(axis=1), linked.any(axis=0)
+    for start in range(len(rows)):
+        if not new_row[start]:
+            continue
+        reached, found, front = [], [], np.array([start])
+        new_row[start] = False
+        while len(front):
+            reached.append(front)
+            across = np.flatnonzero(linked[front].any(axis=0) & new_column)
+            new_column[across] = False
+            found.append(across)
+            front = np.flatnonzero(linked[:, across].any(axis=1) & new_row)
+            new_row[front] = False
+        reached, found = np.concatenate(reached), np.concatenate(found)
+        row_root[reached] = column_root[found] = min(rows[reached].min(), columns[found].min())
+    return row_root, column_root
+
 
+def _side(gids: np.ndarray, links: np.ndarray, root: np.ndarray) -> pd.DataFrame:
+    some = links > 0
+    return pd.DataFrame({"gid": gids[some], "links": links[some].astype("int64"), "root": root[some]})
+
+
+LEAVES = "gid long, links long, root long, path string, centre array<double>, radius double"
+
+
+def _within(threshold: float, folder: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Links inside a leaf; a leaf of several of its group is also written, with its centre and radius."""
 
-def _compare(threshold: float):
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows["code"].iloc[0]
-        linked = np.zeros((len(rows), len(rows)), bool)
-        for _, at in rows.reset_index(drop=True).groupby("grp").groups.items():
-            x = unit_rows(rows["vector"].iloc[at])
-            linked[np.ix_(at, at)] = x @ x.T >= threshold
+        x, gids, n = unit_rows(rows["vector"]), rows["gid"].to_numpy(), rows["n"].to_numpy()
+        linked = _linked(x, x, threshold)
+        linked |= linked.T  # products of one pair may be rounded in two ways
         np.fill_diagonal(linked, False)
-        some = np.flatnonzero(linked.any(axis=1))
-        if not len(some):
-            return pd.DataFrame({"gid": [], "links": [], "root": []}).astype("int64")
-        linked, rows = linked[np.ix_(some, some)], rows.iloc[some]
-        # Pairs that already met in an earlier leaf.
-        lengths = rows["codes"].map(len).to_numpy()
-        codes = np.concatenate(rows["codes"].to_numpy())
-        row = np.repeat(np.arange(len(rows)), lengths)
-        earlier = codes < own
-        kinds, column = np.unique(codes[earlier], return_inverse=True)
-        shared = np.zeros((len(rows), len(kinds)), np.float32)
-        shared[row[earlier], column] = 1
-        fresh = linked & (shared @ shared.T == 0)
-        gids = rows["gid"].to_numpy()
-        root = gids.copy()
-        while True:  # smallest id reachable inside the leaf
-            around = np.where(linked, root[None, :], root[:, None]).min(axis=1)
-            lower = np.minimum(root, around)
-            if (lower == root).all():
-                break
-            root = lower
-        return pd.DataFrame({"gid": gids, "links": (fresh @ rows["n"].to_numpy()).astype("int64"), "root": root})
+        out = _side(gids, linked @ n, _roots(linked, gids, gids)[0]).assign(path=None, centre=None, radius=None)
+        if rows["several"].iloc[0]:
+            store, path = open_store(f"{folder}/{gids.min()}-{TaskContext.get().taskAttemptId()}.npz")
+            store.create_dir(path.rpartition("/")[0])
+            data = io.BytesIO()
+            np.savez(data, gids=gids, n=n, vectors=np.stack(rows["vector"]))
+            with store.open_output_stream(path) as file:
+                file.write(data.getvalue())
+            centre = x.mean(axis=0)
+            radius = float(np.linalg.norm(x - centre, axis=1).max())
+            uri = f"{folder}/{path.rpartition('/')[2]}"
+            own = pd.DataFrame({"gid": [gids.min()], "links": None, "root": None, "path": uri, "centre": [centre.tolist()], "radius": radius})
+            out = pd.concat([own, out]) if len(out) else own
+        return out.astype({"links": "Int64", "root": "Int64"})
 
     return compare
 
 
-def link_vectors(
-    embeddings: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF
-) -> DataFrame:
+def _load(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    store, path = open_store(uri)
+    with store.open_input_file(path) as file:
+        held = np.load(io.BytesIO(file.read()))
+    return held["gids"], held["n"], unit_rows(held["vectors"])
+
+
+def _across(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Links between the two leaves of each row."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            for one, other in zip(batch["path"], batch["other"], strict=True):
+                if held is None or held[0] != one:
+                    held = (one, *_load(one))
+                _, gids, n, x = held
+                gids_too, n_too, y = _load(other)
+                linked = _linked(x, y, threshold)
+                if linked.any():
+                    root, root_too = _roots(linked, gids, gids_too)
+                    yield _side(gids, linked @ n_too, root)
+                    yield _side(gids_too, n @ linked, root_too)
+
+    return compare
+
+
+def leaf_links(distinct: DataFrame, cells: DataFrame, threshold: float, leaf: int) -> DataFrame:
+    """gid, links, root: rows that sum to the links of every vector and connect it with all that it links to.
+
+    `distinct` needs gid, grp, vector, n. Leaves of a group that has several are
+    files of at most 2 * leaf vectors; a task reads the two that it compares, so
+    vectors are written once however many leaves they meet.
+    """
+    spark = distinct.sparkSession
+    split = distinct.groupBy("grp").agg((F.count("*") > 2 * leaf).alias("several"))
+    rows = cells.join(distinct, "gid").join(split, "grp")
+    within = rows.groupBy("grp", "cell").applyInPandas(_within(threshold, shared_folder(spark, "leaves")), LEAVES)
+    # The group of a leaf is that of any of its vectors.
+    found = stage(within, "leaf-links")
+    leaves = found.where("path IS NOT NULL").join(distinct.select("gid", "grp"), "gid").select("grp", "gid", "path", "centre", "radius")
+    leaves = stage(leaves.withColumn("at", F.row_number().over(Window.partitionBy("grp").orderBy("gid"))), "leaves-listed")
+    others = leaves.select("grp", F.col("at").alias("at_too"), F.col("path").alias("other"), F.col("centre").alias("c"), F.col("radius").alias("r"))
+    apart = F.sqrt(F.aggregate(F.zip_with("centre", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, a: s + a))
+    reach = F.col("radius") + F.col("r") + float(np.sqrt(max(2 - 2 * threshold, 0)) + ROUNDING)
+    near = leaves.join(others, "grp").where((F.col("at") < F.col("at_too")) & (apart <= reach))
+    pairs = stage(near.select("path", "other", F.floor(F.col("at_too") / STRETCH).alias("stretch")), "leaf-pairs")
+    # Pairs are small rows and long work, so the number of tasks is given.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, pairs.count() // STRETCH)
+    dealt = pairs.repartition(tasks, "path", "stretch").sortWithinPartitions("path").select("path", "other")
+    across = stage(dealt.mapInPandas(_across(threshold), "gid long, links long, root long"), "cross-links")
+    return found.where("path IS NULL").select("gid", "links", "root").union(across)
+
+
+def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, leaf: int = LEAF) -> DataFrame:
     """Rows of vec_id, n_links, component_id and kept, one per row of `embeddings`.
 
     Vectors with equal, not null labels and equal lengths link when their cosine in
     double precision reaches `threshold`. Null or zero vectors, those with null or
     non-finite components, and rows with a null id or label link with nothing.
-    n_links counts linked rows other than itself, equal vectors included. Repeated
+    n_links counts linked rows other than itself, equal vectors included; no link is
+    left out. Vectors of one label without any structure are all compared. Repeated
     rows are rows of their own. An empty table gives no rows. Only vec_id, embedding
     and label are read.
     """
@@ -178,13 +262,8 @@ def link_vectors(
     )
     valid = rows.where("grp IS NOT NULL")
     distinct = stage(valid.groupBy("grp", "vector").agg(F.min("uid").alias("gid"), F.count("*").alias("n")), "distinct-vectors")
-    leaves = grow_forest(distinct.select("gid", "grp", "vector"), trees, leaf)
-    # Codes of one tree are neighbours in order, so the smallest common code is the first common leaf.
-    code = (F.col("tree").cast("bigint") * (1 << 57)) + F.shiftrightunsigned("cell", 8)
-    coded = leaves.select("gid", code.alias("code"))
-    lists = coded.groupBy("gid").agg(F.collect_list("code").alias("codes"))
-    leaf_rows = coded.join(lists, "gid").join(distinct, "gid").select("code", "gid", "grp", "vector", "n", "codes")
-    found = stage(leaf_rows.groupBy("code").applyInPandas(_compare(threshold), "gid long, links long, root long"), "leaf-links")
+    cells = grow_tree(distinct.select("gid", "grp", "vector"), leaf)
+    found = leaf_links(distinct, cells, threshold, leaf)
     united = connected_components(found.select(F.col("gid").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("gid").agg(F.sum("links").alias("links"))
     groups = (

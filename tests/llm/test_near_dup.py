@@ -82,3 +82,18 @@ def test_components(spark, seed):
         if before == want:
             break
     assert got == want
+
+
+def test_large_dense_group_keeps_every_link(spark):
+    """More near-equal vectors than two leaves hold, among scattered ones and a chain at the threshold."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(32)
+    angles = np.arange(60) * np.arccos(0.9801)
+    chain = [(np.eye(32)[0] * np.cos(a) + np.eye(32)[1] * np.sin(a)).tolist() for a in angles[:30]]
+    dense = (base + rng.standard_normal((1500, 32)) * 0.1).tolist()
+    rows = [[i, v, 0, "", 1] for i, v in enumerate(dense + chain + rng.standard_normal((600, 32)).tolist())]
+    want = brute(rows)
+    assert 0.9 < sum(w[1] for w in want) / 1500**2 < 1
+    for leaf in (64, 200, 4096):
+        got = nd.link_vectors(spark.createDataFrame(rows, SCHEMA), leaf=leaf).collect()
+        assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == want
