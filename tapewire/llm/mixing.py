@@ -1,9 +1,10 @@
 """Sainte-Lague mixing of sources to target weights.
 
 Each source is a stream of words cut into equal blocks and dealt over shards. The
-blocks of the mix go to (source, shard) cells by highest quotients, so every shard
-knows its integer quota before any document is looked at again. A cell then takes
-whole passes and one seeded run of consecutive blocks.
+words of the mix go to sources by highest quotients, and those of a source to its
+shards in the same way, so every shard knows its quota before any document is
+looked at again. A cell then takes whole passes and one seeded run of consecutive
+blocks, the last one cut to what is left of the quota.
 """
 
 from __future__ import annotations
@@ -65,8 +66,24 @@ def apportion(weights: Sequence[float], seats: int) -> np.ndarray:
     return held
 
 
+def capped_seats(weights: np.ndarray, seats: int, limits: np.ndarray) -> np.ndarray:
+    """Sainte-Lague seats with none above its limit; what a limit cuts off is dealt to the others."""
+    held, free = np.zeros(len(weights), np.int64), np.ones(len(weights), bool)
+    while free.any():
+        held[free] = apportion(weights[free], seats - int(limits[~free].sum()))
+        over = free & (held > limits)
+        if not over.any():
+            break
+        held[over] = limits[over]
+        free &= ~over
+    return held
+
+
 def _cell_quotas(cells: list, weights, share: float, repeats: int, blocks: int) -> tuple[list[tuple], int]:
-    """Rows of (source, shard, source size, target, words, passes, blocks of the run), and the block length."""
+    """Rows of (source, shard, source size, target, words, passes, words of the run), and the block length.
+
+    `cells` lie in the order of their sources.
+    """
     names = list(dict.fromkeys(c["source"] for c in cells))
     index = {name: i for i, name in enumerate(names)}
     at = np.array([index[c["source"]] for c in cells], int)
@@ -75,12 +92,19 @@ def _cell_quotas(cells: list, weights, share: float, repeats: int, blocks: int)
     turn = cycle(weights)
     targets = source_targets(sizes, [next(turn) for _ in names], share * sizes.sum(), repeats)
     length = max(1, int(-(-targets.sum() // blocks)))
-    quotas = apportion(targets[at] * words / np.maximum(sizes[at], 1), round(targets.sum() / length))
+    whole = words.astype(np.int64)
+    most = np.floor(sizes * repeats).astype(np.int64)
+    taken = capped_seats(targets, min(round(targets.sum()), int(most.sum())), most)
+    quotas = np.zeros(len(cells), np.int64)
+    bounds = np.searchsorted(at, np.arange(len(names) + 1))
+    for i, quota in enumerate(taken.tolist()):
+        own = slice(bounds[i], bounds[i + 1])
+        limits = np.floor(words[own] * repeats).astype(np.int64)
+        quotas[own] = capped_seats(words[own], min(quota, int(limits.sum())), limits)
     rows = []
-    for cell, i, quota in zip(cells, at.tolist(), quotas.tolist(), strict=True):
-        count = -(-int(cell["words"]) // length)  # blocks of the cell; the last may be short
-        passes, run = divmod(min(quota, repeats * count), count) if count else (0, 0)
-        rows.append((cell["source"], cell["shard"], int(sizes[i]), float(targets[i]), int(cell["words"]), passes, run))
+    for cell, i, size, quota in zip(cells, at.tolist(), whole.tolist(), quotas.tolist(), strict=True):
+        passes, run = divmod(quota, size) if size else (0, 0)
+        rows.append((cell["source"], cell["shard"], int(sizes[i]), float(targets[i]), size, passes, run))
     return rows, length
 
 
@@ -98,7 +122,8 @@ def mix_plan(
     size: words of the text (null: 0). Sources in code point order, null last, get
     `weights` in turn, of `share` times all words; no target exceeds `repeats` times
     its source, the excess is shared again. taken: words the mix takes, repeats
-    counted. It is `passes` whole copies, and words [run_start, run_end) and
+    counted; those of a source sum to its target in whole words, whatever the length
+    of a block. It is `passes` whole copies, and words [run_start, run_end) and
     [again_start, again_end) of one more; the second range is empty but for a
     document at which the run of blocks wraps around. `text_hash` and `copy` tell
     repeated ids apart.
@@ -146,7 +171,8 @@ def mix_plan(
     )
     count = F.ceil(F.col("cell_words") / length)
     first = F.pmod(F.xxhash64(F.lit(seed), "cell"), F.greatest(count, F.lit(1)))
-    last = first + F.col("run")
+    start = first * length
+    last = start + F.col("run")
     begin, end = F.col("upto") - F.col("size"), F.col("upto")
     within = lambda x: F.least(F.greatest(x - begin, F.lit(0)), F.col("size")).cast("bigint")
     return joined.select(
@@ -156,10 +182,10 @@ def mix_plan(
         "source_size",
         "target",
         "passes",
-        within(first * length).alias("run_start"),
-        within(F.least(last * length, F.col("cell_words"))).alias("run_end"),
+        within(start).alias("run_start"),
+        within(F.least(last, F.col("cell_words"))).alias("run_end"),
         within(F.lit(0)).alias("again_start"),
-        within(F.greatest(last - count, F.lit(0)) * length).alias("again_end"),
+        within(F.greatest(last - F.col("cell_words"), F.lit(0))).alias("again_end"),
         "text_hash",
         "copy",
     ).withColumn(

@@ -76,3 +76,16 @@ def test_apply_gives_the_words_of_the_plan(spark):
 
 def test_empty_table(spark):
     assert mix_plan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [3, 50, 1 << 20])
+def test_no_source_is_lost_to_long_blocks(spark, blocks):
+    """Sources far below a block, and more (source, shard) cells than blocks."""
+    rows = [(i, "w " * 400, "en", "big", 0) for i in range(60)]
+    rows += [(1000 + i, "w " * (i % 7 + 1), "en", f"tiny{i // 3:02d}", 0) for i in range(60)]
+    got = mix_plan(spark.createDataFrame(rows, DOCS), blocks=blocks).collect()
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    for name in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == name]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 1
+    assert sum(r["taken"] for r in got) == round(1.5 * sum(r["size"] for r in got))
