@@ -106,14 +106,15 @@ def op1_warc(spark, sf):
     """Every page written as a WARC record, equal payloads as revisits, and all read back by byte ranges."""
     from tapewire.llm import warc
 
-    back = warc.read_warc(warc.write_warc(warc.mark_revisits(table(spark, sf, "pages"))))
-    return back.select(
+    files = warc.write_warc(warc.mark_revisits(table(spark, sf, "pages")))
+    rows = warc.read_warc(files).select(
         warc.page_number(F.col("record_id")).alias("page_id"),
         F.when(F.col("type") == "revisit", F.col("http_length")).otherwise(F.length("payload").cast("bigint")).alias("payload_bytes"),
         "payload_digest",
         F.col("type").alias("record_type"),
         warc.page_number(F.col("refers_to_id")).alias("refers_to"),
     )
+    return warc.checked(rows, files)
 
 
 @query("op7_language_id")

@@ -23,7 +23,7 @@ MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 16 << 20
 READ_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
-HEAD_BYTES = 64 << 10  # a candidate must show its whole WARC header within so many decoded bytes
+HEAD_BYTES = 64 << 10  # decoded at once while the end of a header is looked for
 RECORD_ID = "urn:page:"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -145,13 +145,18 @@ def _headers(text: bytes) -> dict[str, str]:
 
 
 def read_member(source, at: int) -> tuple[dict[str, str], bytes, int] | None:
-    """WARC headers, block and end of the record that starts at `at`; None if there is none."""
+    """WARC headers, block and end of the record that starts at `at`; None if there is none.
+
+    What begins as a WARC header is read until the header ends, at most to the end of its member.
+    """
     member, data = Member(source, at), bytearray()
     try:
-        while (cut := data.find(b"\r\n\r\n")) < 0:
+        seen = 0
+        while (cut := data.find(b"\r\n\r\n", max(seen - 3, 0))) < 0:
+            seen = len(data)
             more = member.read(HEAD_BYTES)
             data += more
-            if not more or len(data) > HEAD_BYTES or not data.startswith(b"WARC/1."[: len(data)]):
+            if not more or not data.startswith(b"WARC/1."[: len(data)]):
                 return None
         headers = _headers(bytes(data[:cut]))
         length = int(headers["content-length"])
@@ -240,6 +245,18 @@ def read_warc(files: DataFrame, split: int = SPLIT_BYTES) -> DataFrame:
     return spread.mapInArrow(read, ", ".join(columns))
 
 
+def checked(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """`rows` written once; ValueError unless they are as many as the records that `files` lists.
+
+    `rows` has one row per record read, best without the payloads.
+    """
+    rows = stage(rows, "warc-read")
+    listed, read = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], rows.count()
+    if listed != read:
+        raise ValueError(f"{read} records read of {listed} written")
+    return rows
+
+
 def page_number(record_id: Column) -> Column:
     """The page_id of a record id; null where the page had none."""
     digits = F.regexp_extract(record_id, r"^urn:page:(-?\d+)$", 1)

@@ -74,3 +74,17 @@ def test_ranges_and_damage():
     left = [h["warc-record-id"] for h, _ in warc.records_in_range(io.BytesIO(data), 0, len(data))]
     assert left == [f"<urn:page:{i}>" for i in (1, 3, 4, 5, 6, 7, 8)]
     assert len(list(warc.records_in_range(io.BytesIO(data[:-3]), 0, len(data) - 3))) == 6
+
+
+def test_urls_longer_than_a_read(spark):
+    """Headers of over 64 KB, which end far behind the first decoded piece; and a lost record is an error."""
+    rows = [(1, "http://a/" + "é" * 30_000, "<p>a</p>", ""), (2, "http://b/" + "x" * 200_000, "<p>a</p>", ""), (3, "http://c/", "", "")]
+    files = warc.write_warc(warc.mark_revisits(spark.createDataFrame(rows, SCHEMA).repartition(1)))
+    for split in (999, 1 << 24):
+        back = warc.read_warc(files, split)
+        got = {r["record_id"]: (r["target_uri"], r["type"]) for r in back.collect()}
+        assert got == {f"urn:page:{i}": (warc._field(url), "revisit" if i == 2 else "response") for i, url, *_ in rows}
+    ids = back.select("record_id")
+    assert warc.checked(ids, files).count() == 3
+    with pytest.raises(ValueError, match="2 records read of 3"):
+        warc.checked(ids.where("record_id <> 'urn:page:3'"), files)
