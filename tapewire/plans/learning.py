@@ -1,8 +1,7 @@
 """Queries that fit models: no SQL twin, checked by the tests.
 
-Fits have the operators' defaults. The two searches are shorter than the method's
-spaces, and so are `clf_mlp`, `gbt_scores` and the forest of `score_headlines`; all
-of them run over the whole tables.
+Fits have the operators' defaults and searches the method's spaces; all of them run
+over the whole tables.
 """
 
 from __future__ import annotations
@@ -85,20 +84,18 @@ def embedding_points(spark, sf):
 def clf_mlp(spark, sf):
     points = ev.tail_holdout(embedding_points(spark, sf), ["vec_id"]).withColumn("label", F.col("label").cast("double"))
     points = cut_lineage(points)
-    network = ln.dense_network([64, 32, 10], rounds=50)
+    network = ln.dense_network([64, *ln.DENSE_HIDDEN, 10])
     return ln.fit_predict(network, points.where("part = 'train'"), points.where("part = 'validation'"), "vec_id")
 
 
 @query("tune_grid")
 def tune_grid(spark, sf):
-    settings = ln.grid({"maxIter": [5], "stepSize": [0.1], "maxDepth": [2, 3]})
-    return ln.search(ln.boosted().setWeightCol("weight"), settings, ipo_points(spark, sf), "macro_f1")
+    return ln.search(ln.boosted().setWeightCol("weight"), ln.grid(ln.GBT_GRID), ipo_points(spark, sf), "macro_f1")
 
 
 @query("tune_random")
 def tune_random(spark, sf):
-    space = {"numTrees": [5, 10], "maxDepth": [4, 6], "minInstancesPerNode": [1, 2, 4], "featureSubsetStrategy": ["sqrt", "log2"]}
-    return ln.search(ln.forest(), ln.draws(space, 2), ipo_points(spark, sf), "weighted_f1", with_train=True)
+    return ln.search(ln.forest(), ln.draws(ln.FOREST_SPACE), ipo_points(spark, sf), "weighted_f1", with_train=True)
 
 
 @query("oof_probs")
@@ -115,7 +112,7 @@ def feature_importance(spark, sf):
 @query("gbt_scores")
 def gbt_scores(spark, sf):
     panel = cut_lineage(pn.build_panel(ts.price_features(bars(spark, sf)), CUTOFF))
-    scores, ic, n_rows = ln.panel_scores(panel, CUTOFF, rounds=10)
+    scores, ic, n_rows = ln.panel_scores(panel, CUTOFF)
     return scores.withColumns({"validation_ic": F.lit(ic), "n_train_rows": F.lit(n_rows)})
 
 
@@ -127,7 +124,7 @@ def score_headlines(spark, sf):
     brands = {s: r[0] for s, r in zip(lx.SYMBOLS, names.orderBy("ticker").limit(len(lx.SYMBOLS)).collect())}
     columns = [*ts.MARKET_FEATURES, "news_sentiment_mean", "news_count"]
     points, classes = ln.indexed(ln.assembled(rows, columns), "label")
-    model = ln.forest(trees=10, depth=8).setWeightCol("weight").fit(ln.balanced(points))
+    model = ln.forest().setWeightCol("weight").fit(ln.balanced(points))
     symbol = lx.link_company(F.col("headline"))
     ticker = F.coalesce(*[F.when(F.col("symbol") == s, b) for s, b in brands.items()])
     titles = nw.docs(spark, sf).select("doc_id", "headline", symbol.alias("symbol")).withColumn("ticker", ticker)
