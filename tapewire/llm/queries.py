@@ -169,3 +169,38 @@ def op6_jaccard_join(spark, sf):
 
     found = jaccard_components(table(spark, sf, "documents"), percent=80)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+def with_repeats(documents: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth document by crc32 of its id repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = documents.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD_SQL})"))).alias("words"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    cut = words.select("doc_id", "text", "words", n.alias("n"), (g % F.greatest(n, F.lit(1))).cast("int").alias("a"), (3 + g % 8).alias("parts"))
+    left = F.col("n") - F.col("a")
+    cut = cut.withColumn("p", (1 + F.floor(left / F.col("parts"))).cast("int"))
+    copies = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(left / F.col("p")).cast("int"))
+    tail = F.slice(F.flatten(copies), F.lit(1), left)
+    repeated = F.concat_ws(" ", F.slice("words", F.lit(1), F.col("a")), tail)
+    return cut.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf):
+    """Runs of repeated word stretches in every document, and what is left when each is cut to one period."""
+    from tapewire.llm.runs import periodic_runs
+
+    found = periodic_runs(with_repeats(table(spark, sf, "documents").select("doc_id", "text")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
