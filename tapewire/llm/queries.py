@@ -204,3 +204,27 @@ def op12_periodic_runs(spark, sf):
         F.sha2(F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_license_scan")
+def op11_license_scan(spark, sf):
+    """Base phrases and licence notices of every whole text by ordered signature rules."""
+    from tapewire.llm.licenses import scan_licenses
+
+    found = scan_licenses(table(spark, sf, "documents"))
+    firsts = F.transform("base", lambda b: b["first"])
+    named = {c: F.transform(c, lambda b: b["label"]) for c in ("base", "found")}
+
+    def joined(labels):
+        return F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(firsts).alias("first_word"),
+        F.array_max(firsts).alias("last_word"),
+        joined(named["base"]).alias("base_labels"),
+        joined(F.concat(named["base"], named["found"])).alias("labels"),
+        "score",
+    )
