@@ -228,3 +228,11 @@ def op11_license_scan(spark, sf):
         joined(F.concat(named["base"], named["found"])).alias("labels"),
         "score",
     )
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark, sf):
+    """Ids of a byte-level and a piece vocabulary over the same bytes, with corpus-wide counts of linked pairs."""
+    from tapewire.llm.alignment import align_tokenizers
+
+    return align_tokenizers(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))

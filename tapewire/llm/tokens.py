@@ -10,17 +10,29 @@ are gathered back. Any text that has no such place is one piece.
 from __future__ import annotations
 
 import os
+import re
 import sys
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
-CACHED_PIECES = 1 << 19
+CHUNK_BYTES = 2 << 20
+CACHED_PIECES = 1 << 17
+CACHED_BYTES = 64  # of a piece that is remembered
+TOGETHER = 2048  # pieces of one call
+MARKS = "¶§†|"  # fixed values: candidates for a word of its own between pieces
+
+# 1: visible ASCII, 2: letter or digit of it, 4: lead byte of Latin-1 letters.
+PIECE_KINDS = np.zeros(256, np.uint8)
+PIECE_KINDS[33:127] = 1
+for _low, _high in (b"09", b"AZ", b"az"):
+    PIECE_KINDS[_low : _high + 1] |= 2
+PIECE_KINDS[0xC3] = 4
+
+SEPARATE = re.compile(rb" [!-~\xC3]", re.DOTALL)  # what a text is always cut ahead of
 
 
 def text_chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -41,11 +53,7 @@ def piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     begin[starts] = True
     padded = np.concatenate([np.zeros(2, np.uint8), data, np.zeros(1, np.uint8)])
     before2, before, here, after = padded[:n], padded[1 : n + 1], padded[2 : n + 2], padded[3 : n + 3]
-    kind = np.zeros(256, np.uint8)  # 1: visible ASCII, 2: letter or digit of it, 4: lead byte of Latin-1 letters
-    kind[33:127] = 1
-    for low, high in (b"09", b"AZ", b"az"):
-        kind[low : high + 1] |= 2
-    kind[0xC3] = 4
+    kind = PIECE_KINDS
     follows = (kind[here] & 5).astype(bool)
     space = (here == 32) & (kind[after] & 5).astype(bool) & ~begin[1:]
     latin = (before2 == 0xC3) & (before != 0x97) & (before != 0xB7)
@@ -55,8 +63,79 @@ def piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin[:n] | space | stop | line | behind)
 
 
+class GenerationCache:
+    """What `make` gives for byte keys; keys in use are remembered, others go with their generation.
+
+    At most twice `most` keys of at most `longest` bytes are held.
+    """
+
+    def __init__(self, make: Callable[[list[bytes]], list], most: int = CACHED_PIECES, longest: int = CACHED_BYTES):
+        self.make, self.most, self.longest = make, most, longest
+        self.young: dict[bytes, object] = {}
+        self.old: dict[bytes, object] = {}
+
+    def __call__(self, keys: list[bytes]) -> list:
+        """The values of distinct keys in their order."""
+        out = list(map(self.young.get, keys))
+        new = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            out[i] = self.old.get(keys[i])
+            if out[i] is None:
+                new.append(i)
+            else:
+                self.young[keys[i]] = out[i]
+        for i, value in zip(new, self.make([keys[i] for i in new]) if new else [], strict=True):
+            out[i] = value
+            if len(keys[i]) <= self.longest:
+                self.young[keys[i]] = value
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+        return out
+
+
+def piece_texts(texts: pa.Array, cut: Callable[[np.ndarray, np.ndarray], np.ndarray], cache: GenerationCache) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in one array, and their number per text; null texts have none.
+
+    `cut` gives the places where pieces begin from the UTF-8 bytes and the starts of
+    the texts; `cache` gives the ids of pieces as little-endian unsigned 32-bit.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    if texts.offset:
+        texts = pa.concat_arrays([texts])
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    counts = np.zeros(len(texts), np.int64)
+    if not len(texts) or bounds[-1] == bounds[0]:
+        return np.zeros(0, np.uint32), counts
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+    filled = np.flatnonzero(np.diff(bounds))
+    starts = cut(data, bounds[filled] - bounds[0])
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = pieces.dictionary_encode()
+    spread = pa.array(cache(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+    ends = np.frombuffer(spread.buffers()[1], np.int64)[spread.offset : spread.offset + len(spread) + 1] // 4
+    ids = np.frombuffer(spread.buffers()[2] or b"", np.uint32)[ends[0] : ends[-1]]
+    of_text = np.searchsorted(starts, bounds[filled] - bounds[0])
+    counts[filled] = np.diff(np.append(ends[of_text], ends[-1]))
+    return ids, counts
+
+
+def byte_alphabet() -> dict[str, int]:
+    """Characters of byte-level vocabularies: printable Latin-1 is itself, the other bytes follow from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class PieceEncoder:
-    """Encodes Arrow columns; remembers pieces of earlier batches up to a bound."""
+    """Encodes Arrow columns; remembers pieces of earlier batches up to a bound.
+
+    A call of the tokenizer costs more than a short piece, so new pieces that begin
+    with a space and a visible character are encoded behind each other. Where they
+    end follows from the bytes of the ids, or, in vocabularies that drop white space,
+    from a mark between them that is a word of its own. If the ends do not fit, the
+    pieces are encoded one by one.
+    """
 
     def __init__(self, path: str, most: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,48 +143,55 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.most = most
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ends, self.ids = array("q", [0]), array("I")
-
-    def numbers(self, pieces: list[bytes]) -> np.ndarray:
-        """Number of each distinct piece, new ones encoded."""
-        if len(self.known) + len(pieces) > self.most:
-            self.forget()
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        for piece, coded in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-            known[piece] = len(self.ends) - 1
-            self.ids.extend(coded.ids)
-            self.ends.append(len(self.ids))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.cache = GenerationCache(self.code, most)
+        alphabet = byte_alphabet()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        # Special ids never come from a text; their names need not be in the alphabet.
+        self.bytes = [bytes(alphabet.get(c, 0x3F) for c in name) for name in names]
+        self.sizes = np.array([len(b) for b in self.bytes])
+        sample = " Some words, 12 of them.\n  é"
+        self.spells = b"".join(self.bytes[i] for i in self.one_by_one([sample.encode()])[0]) == sample.encode()
+        marks = [(m, self.one_by_one([f" {m} ".encode()])[0]) for m in MARKS]
+        self.mark = next(((m.encode(), ids[0]) for m, ids in marks if len(ids) == 1), None)
+
+    def one_by_one(self, pieces: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+
+    def in_line(self, pieces: list[bytes]) -> list[bytes] | None:
+        """Ids of pieces encoded behind each other, or None if their ends are not met."""
+        between = b"" if self.spells else b" " + self.mark[0]
+        ids = np.array(self.one_by_one([between.join(pieces)])[0], "<u4")
+        if self.spells:
+            want, ends = np.cumsum([len(p) for p in pieces]), np.cumsum(self.sizes[ids])
+            after = np.searchsorted(ends, want) + 1
+            if after[-1] != len(ids) or (ends[after - 1] != want).any():
+                return None
+            first = np.concatenate([[0], after[:-1]])
+        else:
+            marks = np.flatnonzero(ids == self.mark[1])
+            if len(marks) != len(pieces) - 1:
+                return None
+            first, after = np.concatenate([[0], marks + 1]), np.append(marks, len(ids))
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip((first * 4).tolist(), (after * 4).tolist(), strict=True)]
+
+    def code(self, pieces: list[bytes]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(pieces)
+        joint = [] if not (self.spells or self.mark) else [i for i, p in enumerate(pieces) if SEPARATE.match(p)]
+        if not self.spells and self.mark:
+            joint = [i for i in joint if self.mark[0] not in pieces[i]]
+        for start in range(0, len(joint), TOGETHER):
+            group = joint[start : start + TOGETHER]
+            for i, ids in zip(group, self.in_line([pieces[i] for i in group]) or [], strict=False):
+                out[i] = ids
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self.one_by_one([pieces[i] for i in rest]) if rest else [], strict=True):
+            out[i] = np.array(ids, "<u4").tobytes()
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and their number per text; null texts have none."""
-        texts = pc.fill_null(texts, "").cast(pa.large_binary())
-        if texts.offset:
-            texts = pa.concat_arrays([texts])
-        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        counts = np.zeros(len(texts), np.int64)
-        if not len(texts) or bounds[-1] == bounds[0]:
-            return np.zeros(0, np.uint32), counts
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
-        filled = np.flatnonzero(np.diff(bounds))
-        starts = piece_starts(data, bounds[filled] - bounds[0])
-        offsets = np.append(starts, len(data)).astype(np.int64)
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-        coded = pieces.dictionary_encode()
-        number = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.uint32)
-        first, length = ends[number], ends[number + 1] - ends[number]
-        upto = np.cumsum(length)
-        ids = flat[np.repeat(first - upto + length, length) + np.arange(upto[-1])] if upto[-1] else np.zeros(0, np.uint32)
-        of_text = np.searchsorted(starts, bounds[filled] - bounds[0])
-        counts[filled] = np.diff(np.append(np.concatenate([[0], upto])[of_text], upto[-1]))
-        return ids, counts
+        return piece_texts(texts, piece_starts, self.cache)
 
 
 def encoder(path: str) -> PieceEncoder:
