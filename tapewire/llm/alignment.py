@@ -3,8 +3,8 @@
 Both tokenizers encode the whole text; the bytes of their tokens are laid beside each
 other. Ends that both have ahead of tokens that begin with a space are anchors, which
 split a document into windows of a few ids of each side. The groups of a window (what
-lies between two shared ends) depend on its ids alone, so they are worked out once
-per pair of id tuples and looked up afterwards.
+lies between two shared ends) depend on its ids alone, so those of a chunk are worked
+out once per pair of id tuples, all new tuples at a time, and looked up for the rest.
 
 Counts of linked id pairs over all documents are a plain aggregation. They come back
 to the documents by slices of a bounded number of pairs: every task looks up one
@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import sys
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -33,7 +32,7 @@ from tapewire.llm.tokens import GenerationCache, PieceEncoder, encoder, piece_te
 CHUNK_BYTES = 1 << 20
 SLICE_PAIRS = 1 << 21  # pairs a task holds at once: 48 MB
 PARTIAL_PAIRS = 1 << 19  # distinct pairs a task adds up before it hands them on
-WINDOW_BYTES = 256  # of the id tuples of a window that is remembered
+SHORT_GROUP = 1024  # pairs of a group that are written out
 MARK = "▁"  # fixed value: how the second vocabulary writes a space
 
 
@@ -58,7 +57,7 @@ class MarkedEncoder:
     def code(self, pieces: list[bytes]) -> list[bytes]:
         """The model adds the space itself, so the one a piece begins with is left out."""
         coded = self.model.encode([p[1:].decode() for p in pieces], num_threads=1)
-        return [self.lone if p == b" " else np.array(ids, "<u4").tobytes() for p, ids in zip(pieces, coded, strict=True)]
+        return [self.lone if p == b" " else array("I", ids).tobytes() for p, ids in zip(pieces, coded, strict=True)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each beginning with the space in front, and their number per text."""
@@ -86,9 +85,9 @@ class Pair:
     b_bytes: pa.Array
     a_spaced: np.ndarray
     b_spaced: np.ndarray
-    a_sizes: list[int]
-    b_sizes: list[int]
-    windows: GenerationCache | None = None
+    a_sizes: np.ndarray
+    b_sizes: np.ndarray
+    names: pa.Array
 
     @property
     def key_base(self) -> int:
@@ -102,8 +101,11 @@ def encoders(a_path: str, b_path: str) -> Pair:
         a, b = encoder(a_path), MarkedEncoder(b_path)
         tables = [pa.array(side.bytes, pa.large_binary()) for side in (a, b)]
         spaced = [np.array([x[:1] == b" " for x in side.bytes]) for side in (a, b)]
-        pair = Pair(a, b, *tables, *spaced, *[[len(x) for x in side.bytes] for side in (a, b)])
-        pair.windows = GenerationCache(lambda keys: [window_groups(k, pair) for k in keys], longest=WINDOW_BYTES)
+        sizes = [np.array([len(x) for x in side.bytes]) for side in (a, b)]
+        # Ids as text, each with the sign inside a group's side and the one at its end.
+        signs = [(size, end) for size, end in zip(map(len, sizes), "|;", strict=True)]
+        names = pa.array([f"{i}{sign}".encode() for n, end in signs for i in range(n) for sign in (",", end)], pa.large_binary())
+        pair = Pair(a, b, *tables, *spaced, *sizes, names)
         kept["pair", a_path, b_path] = pair
     return kept["pair", a_path, b_path]
 
@@ -145,29 +147,66 @@ def agreeing(chunk_texts: pa.Array, pair: Pair):
     return filled[good], out[0], out[1]
 
 
-def window_groups(window: bytes, pair: Pair) -> tuple[bytes, int, bytes, bytes]:
-    """Text of a window's groups, their number, and keys and occurrences of the pairs of ids in them."""
-    n, *ids = memoryview(window).cast("I").tolist()
-    a, b, base = ids[:n], ids[n:], pair.key_base
-    text, keys, times = [], array("q"), array("I")
-    i = j = a_end = b_end = 0
-    for k, x in enumerate(a, 1):
-        a_end += pair.a_sizes[x]
-        last = j if k == i + 1 else last
-        while b_end < a_end:
-            b_end += pair.b_sizes[b[last]]
-            last += 1
-        if a_end != b_end:
-            continue
-        xs, ys = a[i:k], b[j:last]
-        text.append(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)))
-        # Equal ids of a long group are counted before they are paired.
-        for x, p in Counter(xs).items() if k - i > 1 else ((xs[0], 1),):
-            for y, q in Counter(ys).items() if last - j > 1 else ((ys[0], 1),):
-                keys.append(x * base + y)
-                times.append(p * q)
-        i, j = k, last
-    return (";".join(text) + ";").encode(), len(text), keys.tobytes(), times.tobytes()
+@dataclass
+class Alignments:
+    """What distinct windows hold: text of their groups, number of groups, keys and occurrences of their pairs."""
+
+    text: pa.Array
+    groups: np.ndarray
+    keys: np.ndarray
+    times: np.ndarray
+    sizes: np.ndarray
+
+
+def align_windows(windows: pa.Array, pair: Pair) -> Alignments:
+    """Groups of all windows: both sides' bytes run on from window to window, and shared ends part them."""
+    offsets = np.frombuffer(windows.buffers()[1], np.int64)[windows.offset : windows.offset + len(windows) + 1] // 4
+    raw = np.frombuffer(windows.buffers()[2], "<u4")[offsets[0] : offsets[-1]].astype(np.int64)
+    offsets = offsets - offsets[0]
+    lengths = np.diff(offsets)
+    place = np.arange(len(raw)) - np.repeat(offsets[:-1], lengths)
+    first_side = np.repeat(raw[offsets[:-1]], lengths)
+    in_a, in_b = (place > 0) & (place <= first_side), place > first_side
+    a, b = raw[in_a], raw[in_b]
+    window = np.repeat(np.arange(len(windows)), lengths)[in_a]
+    a_ends, b_ends = np.cumsum(pair.a_sizes[a]), np.cumsum(pair.b_sizes[b])
+    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    of_a, of_b = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+    n_a, n_b = np.bincount(of_a, minlength=len(shared)), np.bincount(of_b, minlength=len(shared))
+    last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
+    first_a, first_b = last_a - n_a, last_b - n_b
+    window = window[first_a]
+    # Names in the order a1,a2|b1; with the sign that follows each.
+    upto = np.cumsum(n_a + n_b)
+    begin = upto - n_a - n_b
+    names = np.empty(len(a) + len(b), np.int64)
+    at_a, at_b = np.arange(len(a)), np.arange(len(b))
+    names[begin[of_a] + at_a - first_a[of_a]] = 2 * a + (at_a + 1 == last_a[of_a])
+    names[(begin + n_a)[of_b] + at_b - first_b[of_b]] = 2 * (len(pair.a_sizes) + b) + (at_b + 1 == last_b[of_b])
+    text = pair.names.take(pa.array(names))
+    groups = np.bincount(window, minlength=len(windows))
+    token_bounds = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(groups)])]
+    text_bounds = np.ascontiguousarray(np.frombuffer(text.buffers()[1], np.int64)[text.offset :][token_bounds])
+    texts = pa.Array.from_buffers(pa.large_binary(), len(windows), [None, pa.py_buffer(text_bounds), text.buffers()[2]])
+    # All pairs of short groups; equal ids of a long group are counted before they are paired.
+    product = n_a * n_b
+    short = np.flatnonzero(product <= SHORT_GROUP)
+    per = product[short]
+    of = np.repeat(short, per)
+    step = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    keys = [a[first_a[of] + step // n_b[of]] * pair.key_base + b[first_b[of] + step % n_b[of]]]
+    times, owner = [np.ones(len(of), np.int64)], [window[of]]
+    for g in np.flatnonzero(product > SHORT_GROUP).tolist():
+        xs, x_times = np.unique(a[first_a[g] : last_a[g]], return_counts=True)
+        ys, y_times = np.unique(b[first_b[g] : last_b[g]], return_counts=True)
+        keys.append((xs[:, None] * pair.key_base + ys).reshape(-1))
+        times.append((x_times[:, None] * y_times).reshape(-1))
+        owner.append(np.full(len(keys[-1]), window[g]))
+    all_keys, all_times, all_owners = np.concatenate(keys), np.concatenate(times), np.concatenate(owner)
+    if len(keys) > 1:
+        order = np.argsort(all_owners, kind="stable")
+        all_keys, all_times = all_keys[order], all_times[order]
+    return Alignments(texts, groups, all_keys, all_times, np.bincount(all_owners, minlength=len(windows)))
 
 
 def align_chunk(texts: pa.Array, pair: Pair):
@@ -195,30 +234,28 @@ def align_chunk(texts: pa.Array, pair: Pair):
     flat[np.arange(len(b)) + np.repeat(offsets[:-1] + 1 + of_a - at_b[:-1], of_b)] = b
     windows = pa.Array.from_buffers(pa.large_binary(), len(of_a), [None, pa.py_buffer(offsets * 4), pa.py_buffer(flat)])
     coded = windows.dictionary_encode()
-    known = pair.windows(coded.dictionary.to_pylist())
+    known = align_windows(coded.dictionary, pair)
     which = coded.indices.to_numpy().astype(np.int64)
     first = np.searchsorted(anchors, a_begins[a_first])
     bounds = np.append(first, len(which))
-    joined = pa.array([k[0] for k in known], pa.large_binary()).take(coded.indices)
+    joined = known.text.take(coded.indices)
     ends = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :][bounds]
     data = memoryview(joined.buffers()[2])
     for row, start, end in zip(rows.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
         digests[row] = hashlib.sha256(data[start : end - 1]).hexdigest()
     # Pairs of every window, then of every row.
-    sizes = np.array([len(k[2]) for k in known]) // 8
-    begin = np.cumsum(sizes) - sizes
-    keys, times = np.frombuffer(b"".join(k[2] for k in known), np.int64), np.frombuffer(b"".join(k[3] for k in known), np.uint32)
-    per = sizes[which]
+    begin = np.cumsum(known.sizes) - known.sizes
+    per = known.sizes[which]
     place = np.repeat(begin[which] - (np.cumsum(per) - per), per) + np.arange(per.sum())
     of_row = np.repeat(np.repeat(np.arange(len(rows)), np.diff(bounds)), per)
-    key, occ = keys[place], times[place].astype(np.int64)
+    key, occ = known.keys[place], known.times[place]
     order = np.argsort(of_row * (pair.key_base * len(pair.a_sizes)) + key)
     key, owner, occ = key[order], of_row[order], occ[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
     heads = np.flatnonzero(new)
     occ = np.add.reduceat(occ, heads)
-    groups = np.array([k[1] for k in known])[which]
+    groups = known.groups[which]
     figures[0, rows], figures[1, rows] = a_counts, b_counts
     figures[2, rows] = np.add.reduceat(groups, bounds[:-1])
     figures[3, rows] = np.bincount(owner[heads], occ, len(rows)).astype(np.int64)
