@@ -32,6 +32,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+MOST_TASKS = 20_000  # of one stage; beyond it a task has more than its share
+
+
+def dealt(ranges: DataFrame, size: str, keys: list[str], each: int) -> DataFrame:
+    """Small rows that stand for `size` bytes each, dealt by `keys` over one task per `each` bytes.
+
+    The rows themselves are few and short, so AQE would put them all into one task; a
+    stated number of partitions is kept.
+    """
+    total = ranges.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return ranges.repartition(min(MOST_TASKS, max(1, -(-int(total) // each))), *keys)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are written.
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tapewire.llm.common import open_store, shared_folder, stage
+from tapewire.llm.common import dealt, open_store, shared_folder, stage
 from tapewire.llm.tokens import encoder, text_chunks, with_end
 from tapewire.operators.ordering import running_total
 
@@ -27,6 +27,7 @@ COUNTS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])  # ids per w
 ESCAPE = 15
 LANE = 1024
 BLOCK_IDS = 1 << 20
+READ_BYTES = 16 << 20  # of the files, per task
 MAGIC = b"TWS8"
 HEADER = "<4sIIIIQ"  # magic, crc32 of what follows, documents, lanes, escapes, words
 
@@ -184,7 +185,7 @@ def read_ids(blocks: DataFrame) -> DataFrame:
     """
     placed = running_total(blocks, [], ["part", "block"], F.col("ids"), "upto")
     placed = placed.withColumn("first", F.col("upto") - F.col("ids"))
-    spread = placed.select("part", "block", "path", "offset", "bytes", "first").repartition("part", "block")
+    spread = dealt(placed.select("part", "block", "path", "offset", "bytes", "first"), "bytes", ["part", "block"], READ_BYTES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

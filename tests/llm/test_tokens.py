@@ -143,3 +143,11 @@ def test_packing_of_odd_rows(spark):
     want = sorted(whole.encode(r[1] or "", add_special_tokens=False).ids + [0] for r in ROWS)
     assert sum(r["length"] for r in rows) == sum(map(len, want)) and sorted({r["doc_tokens"] for r in rows}) == sorted({len(w) for w in want})
     assert packing.pack_documents(df.limit(0), path).count() == 0
+
+
+def test_files_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tf, "READ_BYTES", 2000)
+    monkeypatch.setattr(tf, "BLOCK_IDS", 100)
+    blocks = tf.write_ids(spark.createDataFrame(ROWS * 20, DOCS).repartition(4), public_tokenizers.path("word_bpe_49k.json"), 2)
+    rows = tf.read_ids(blocks)
+    assert rows.rdd.getNumPartitions() > 4 and rows.count() == 20 * len(ROWS)
