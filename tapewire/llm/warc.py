@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapewire.llm.common import open_store, shared_folder, stage
+from tapewire.llm.common import dealt, open_store, shared_folder, stage
 
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 16 << 20
@@ -240,7 +240,7 @@ def read_warc(files: DataFrame, split: int = SPLIT_BYTES) -> DataFrame:
         if rows:
             yield batch(rows)
 
-    spread = ranges.repartition("path", "start")
+    spread = dealt(ranges.withColumn("size", F.col("end") - F.col("start")), "size", ["path", "start"], max(1, split // 4)).drop("size")
     columns = [f"{n} string" for n in names[:5]] + ["http_length long", "payload binary"]
     return spread.mapInArrow(read, ", ".join(columns))
 
