@@ -102,9 +102,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "url", order: st
 
 
 def unseen(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the finished set."""
-    return rows.join(done.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not in the finished set; a key that is finished often is one row of the join."""
+    return rows.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def seen(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(done.select(*keys), list(keys), "left_semi")
+    return rows.join(done.select(*keys).distinct(), list(keys), "left_semi")

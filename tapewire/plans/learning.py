@@ -13,6 +13,7 @@ from tapewire.functions.numeric import rounded
 from tapewire.operators import cluster as cl
 from tapewire.operators import evaluate as ev
 from tapewire.operators import learn as ln
+from tapewire.operators import neighbours as nb
 from tapewire.operators import panel as pn
 from tapewire.operators import quality as ql
 from tapewire.operators import timeseries as ts
@@ -172,6 +173,13 @@ def hier_cluster(spark, sf):
     return cl.best_labels(embedding_points(spark, sf), cl.hierarchical_labels)[0].select("vec_id", "cluster")
 
 
+@query("dbscan")
+def dbscan(spark, sf):
+    """Density clusters of the vectors for the best of 40 settings around the knee of the k-distance curve; noise is -1."""
+    labels, best = nb.density_clusters(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return labels.withColumns({"eps": F.round(F.lit(best.eps), 6), "min_samples": F.lit(best.min_samples)})
+
+
 def text_points(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "text")
     embedded = ln.truncated_svd(vz.tfidf(rows, "doc_id", "text", CLUSTER), "doc_id", 100)[0]

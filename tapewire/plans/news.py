@@ -588,7 +588,7 @@ def union_sources(spark, sf):
 
 @query(
     "resume_anti",
-    f"""WITH {nw.ARTICLES_SQL}, done AS (SELECT source, url FROM articles WHERE lang <> 'en')
+    f"""WITH {nw.ARTICLES_SQL}, done AS MATERIALIZED (SELECT DISTINCT source, url FROM articles WHERE lang <> 'en')
 SELECT pos, source, url FROM articles ANTI JOIN done USING (source, url)""",
 )
 def resume_anti(spark, sf):
@@ -598,7 +598,7 @@ def resume_anti(spark, sf):
 
 @query(
     "resume_semi",
-    f"""WITH {nw.ARTICLES_SQL}, done AS (SELECT source, url FROM articles WHERE lang <> 'en')
+    f"""WITH {nw.ARTICLES_SQL}, done AS MATERIALIZED (SELECT DISTINCT source, url FROM articles WHERE lang <> 'en')
 SELECT pos, source, url FROM articles SEMI JOIN done USING (source, url)""",
 )
 def resume_semi(spark, sf):

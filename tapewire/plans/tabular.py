@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tapewire.functions.numeric import rounded
 from tapewire.operators import cluster as cl
 from tapewire.operators import evaluate as ev
+from tapewire.operators import neighbours as nb
 from tapewire.operators import quality as ql
 from tapewire.operators import vectors as vc
 from tapewire.plans.registry import query
+from tapewire.session import cut_lineage
 from tapewire.sources.tables import table
 from tapewire.sources.tabular import IPO_SQL, SCORED_SQL, ipo_raw, scored
 
@@ -295,6 +297,31 @@ def silhouette(spark, sf):
     return rounded(cl.silhouette(rows, "vec_id"), "silhouette")
 
 
+@query(
+    "silhouette_exact",
+    f"""WITH {SILHOUETTE_SQL.replace("list_sum(", "sqrt(list_sum(").replace("(p[1] - p[2])))", "(p[1] - p[2]))))")} SELECT vec_id, round((b - a) / greatest(a, b), 6) AS silhouette FROM s""",
+)
+def silhouette_exact(spark, sf):
+    """Euclidean silhouettes of the labelled vectors, from sums of blocks."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.lit(1).cast("bigint").alias("w"), "label")
+    labels = rows.select(F.lit(0).alias("setting"), "id", F.col("label").cast("bigint").alias("cluster"))
+    return rounded(nb.exact_silhouettes(cut_lineage(rows.drop("label")), labels).select(F.col("id").alias("vec_id"), "silhouette"), "silhouette")
+
+
+@query(
+    "kdist",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+d AS (SELECT a.vec_id, sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS x FROM v a, v b),
+r AS (SELECT vec_id, round(x, 6) AS distance, row_number() OVER (PARTITION BY vec_id ORDER BY x) AS n FROM d)
+SELECT vec_id, distance, row_number() OVER (ORDER BY distance, vec_id) AS position FROM r WHERE n = 10""",
+)
+def kdist(spark, sf):
+    """Distance of every vector to the tenth nearest, itself counted, in ascending order."""
+    points, members = nb.distinct_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    found = nb.curve(nb.k_distances(points, members))
+    return found.select(F.col("key").alias("vec_id"), "distance", "position")
+
+
 @query("cluster_sizes", "SELECT label AS cluster, count(*) AS n, round(count(*) / (SELECT count(*) FROM embeddings), 6) AS share FROM embeddings GROUP BY label")
 def cluster_sizes(spark, sf):
     return rounded(cl.sizes(table(spark, sf, "embeddings").select(F.col("label").alias("cluster"))), "share")
