@@ -122,12 +122,22 @@ def fit_languages(labelled: DataFrame, rows: int = TRAINING_ROWS) -> LanguageFil
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = _letters()
+
+        def added_up(lang: str, codes: list[np.ndarray]) -> pd.DataFrame:
+            code, n = np.unique(np.concatenate(codes), return_counts=True)
+            return pd.DataFrame({"lang": lang, "gram": code.view(np.int64), "n": n})
+
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                codes = [g for t in texts for g in grams(t, letters)]
-                if codes:
-                    code, n = np.unique(np.concatenate(codes), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "gram": code.view(np.int64), "n": n})
+                held, size = [], 0
+                for codes in (g for t in texts for g in grams(t, letters)):
+                    held.append(codes)
+                    size += len(codes)
+                    if size >= SLICE:
+                        yield added_up(lang, held)
+                        held, size = [], 0
+                if held:
+                    yield added_up(lang, held)
 
     counted = chosen.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
