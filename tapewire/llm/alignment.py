@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tapewire.llm.common import open_store, shared_folder
-from tapewire.llm.tokens import GenerationCache, PieceEncoder, encoder, piece_texts, text_chunks
+from tapewire.llm.tokens import GenerationCache, PieceEncoder, encoder, end_task, piece_texts, text_chunks
 
 CHUNK_BYTES = 1 << 20
 SLICE_PAIRS = 1 << 21  # pairs a task holds at once: 48 MB
@@ -290,6 +290,7 @@ def align_tokenizers(documents: DataFrame, a_path: str, b_path: str) -> DataFram
                 columns = [chunk["uid"], chunk["doc_id"], *[pa.array(f) for f in figures], pa.array(digests, pa.string())]
                 columns += [wide_slices(key.astype("<u8"), sizes), wide_slices(times.astype("<u4"), sizes)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ALIGNED.split(", ")])
+        end_task(pair.a.cache, pair.b.cache)
 
     folder = shared_folder(spark, "aligned")
     rows.mapInArrow(align, ALIGNED).write.option("compression", "zstd").parquet(folder)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapewire.llm.common import shared_folder
 from tapewire.llm.token_files import slices
-from tapewire.llm.tokens import encoder, text_chunks, with_end
+from tapewire.llm.tokens import encoder, end_task, text_chunks, with_end
 from tapewire.operators.ordering import running_total
 
 LENGTH = 1024
@@ -115,6 +115,7 @@ def pack_documents(documents: DataFrame, vocabulary: str, end: int = 0, length:
                     [chunk["uid"], chunk["doc_id"], pa.array(counts), pa.array(curve), pa.array(body), odd, pa.array(zero), even, pa.array(first)],
                     [c.split()[0] for c in ENCODED.split(", ")],
                 )
+        end_task(encoder(vocabulary).cache)
 
     # Ids are 32-bit with empty high bytes: zstd halves what snappy would write.
     folder = shared_folder(spark, "packed-ids")

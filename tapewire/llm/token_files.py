@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tapewire.llm.common import dealt, open_store, shared_folder, stage
-from tapewire.llm.tokens import encoder, text_chunks, with_end
+from tapewire.llm.tokens import encoder, end_task, text_chunks, with_end
 from tapewire.operators.ordering import running_total
 
 COUNTS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])  # ids per word by selector
@@ -169,6 +169,7 @@ def write_ids(documents: DataFrame, vocabulary: str, end: int, folder: str | Non
                 flush()
             out.close()
             store.move(trial, final)
+        end_task(encoder(vocabulary).cache)
         if rows:
             columns = list(zip(*rows, strict=True))
             kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4]

@@ -9,6 +9,7 @@ are gathered back. Any text that has no such place is one piece.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
@@ -74,6 +75,9 @@ class GenerationCache:
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def __call__(self, keys: list[bytes]) -> list:
         """The values of distinct keys in their order."""
         out = list(map(self.young.get, keys))
@@ -206,6 +210,17 @@ def encoder(path: str) -> PieceEncoder:
     return kept["encoder", path]
 
 
+def end_task(*caches: GenerationCache) -> None:
+    """Give back what a task remembered: the worker goes on to other steps and keeps its memory."""
+    for cache in caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        return  # another C library than glibc
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with `end` behind those of each text, and the numbers with it."""
     return np.insert(ids, np.cumsum(counts), end).astype(np.uint32), counts + 1
