@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -21,6 +23,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BATCH_BYTES while a table is written, for rows that hold whole texts or sets."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files.
 
@@ -28,7 +48,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     partitioning, so later joins on them have two shuffles that AQE can split.
     """
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    with short_batches(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

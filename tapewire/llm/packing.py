@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tapewire.llm.common import shared_folder
+from tapewire.llm.common import shared_folder, short_batches
 from tapewire.llm.token_files import slices
 from tapewire.llm.tokens import encoder, end_task, text_chunks, with_end
 from tapewire.operators.ordering import running_total
@@ -119,7 +119,8 @@ def pack_documents(documents: DataFrame, vocabulary: str, end: int = 0, length:
 
     # Ids are 32-bit with empty high bytes: zstd halves what snappy would write.
     folder = shared_folder(spark, "packed-ids")
-    rows.mapInArrow(encode, ENCODED).write.option("compression", "zstd").parquet(folder)
+    with short_batches(spark):
+        rows.mapInArrow(encode, ENCODED).write.option("compression", "zstd").parquet(folder)
     staged = spark.read.schema(ENCODED).parquet(folder)
     wholes = F.transform(
         F.sequence(F.lit(0).cast("bigint"), F.floor(F.length("body") / (4 * length)) - 1),
