@@ -129,14 +129,17 @@ def _ic_per_window(features: DataFrame, known: DataFrame, windows: DataFrame, sc
     return joined.select("window_id", F.coalesce(mean, F.lit(0.0)).alias("ic"))
 
 
-def walk_forward(prices: DataFrame, features: DataFrame, plan: WalkForward, score: str = "return_20d") -> dict[str, DataFrame]:
+def walk_forward(
+    prices: DataFrame, features: DataFrame, plan: WalkForward, score: str = "return_20d", model: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Walk-forward test of all windows at once; gives `windows`, `weights` and `daily`.
 
     `prices` are filled bars, `features` complete feature rows. Every row belongs
     to one segment and to one first window that knows it, so formation figures
     are sums per window, accumulated over the windows; history is not copied
-    once per cutoff. The default score is a feature; a fitted model's scores can
-    be passed as a column of `features`.
+    once per cutoff. The default score is a feature; `model` gives scores fitted per
+    window instead (window_id, ticker, score, ic), where windows without a model are
+    skipped and a window with too few positive scores is weighed by inverse variance.
     """
     spark = prices.sparkSession
     returns = formation_returns(prices)
@@ -165,8 +168,12 @@ def walk_forward(prices: DataFrame, features: DataFrame, plan: WalkForward, scor
             F.last("_score", ignorenulls=True).over(upto).alias("_score"),
         )
         .where((F.col("_m") > 0) & (F.col("_n") >= plan.min_rows))
-        .join(_ic_per_window(features, known, windows, score, plan), "window_id")
     )
+    if model is None:
+        formed = formed.join(_ic_per_window(features, known, windows, score, plan), "window_id")
+    else:
+        fitted = model.select("window_id", "ticker", F.col("score").alias("_score"), "ic")
+        formed = formed.drop("_score").join(fitted, ["window_id", "ticker"])
     base = F.col("_d") / F.col("_m") * TRADING_DAYS
     variance = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1) * TRADING_DAYS
     names = formed.withColumn("n_names", F.count("*").over(Window.partitionBy("window_id"))).where(
@@ -176,7 +183,10 @@ def walk_forward(prices: DataFrame, features: DataFrame, plan: WalkForward, scor
         "window_id", "ticker", "n_names", "ic",
         tilted_return(base, F.col("_score"), F.col("ic")).alias("mu"), variance.alias("variance"),
     ).withColumn("score", safe_div(F.greatest("mu", F.lit(0.0)), F.col("variance")))
-    optimised = capped_weights(scored, plan.cap, ["window_id"]).select("window_id", "ticker", "n_names", "ic", "weight")
+    if model is not None:
+        scored = scored.withColumn("safe", safe_div(F.lit(1.0), F.col("variance")))
+    weighed = capped_weights(scored, plan.cap, ["window_id"], fallback=None if model is None else "safe")
+    optimised = weighed.select("window_id", "ticker", "n_names", "ic", "weight")
     equal = names.select("window_id", "ticker", "n_names", "ic", (1 / F.col("n_names")).alias("weight"))
     weights = optimised.withColumn("strategy", F.lit("optimized")).unionByName(
         equal.withColumn("strategy", F.lit("equal_weight"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,13 +26,14 @@ BINS = 64
 
 @dataclass(frozen=True)
 class Boost:
-    """Settings of one fit; `loss` is "squared" or "logistic" (labels 0 and 1)."""
+    """Settings of one fit; `loss` is "squared" or "logistic" (labels 0 and 1), `l2` shrinks leaves."""
 
     rounds: int = 300
     step: float = 0.05
     depth: int = 5
     leaf_rows: int = 1
     loss: str = "squared"
+    l2: float = 0.0
 
 
 def bin_edges(x: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
@@ -70,11 +71,11 @@ def grow(codes: np.ndarray, width: int, residual: np.ndarray, hessian: np.ndarra
         total_g, total_w, total_n = g[:, :1, -1:], w[:, :1, -1:], rows[:, :1, -1:]
         down = np.bincount(at, hessian[live] * weight[live], many)
         up = total_g[:, 0, 0]
-        value[first : first + many] = np.divide(up, down, out=np.zeros(many), where=down > 1e-12)
+        value[first : first + many] = np.divide(up, down + s.l2, out=np.zeros(many), where=down > 1e-12)
         if level == s.depth:
             break
         with np.errstate(divide="ignore", invalid="ignore"):
-            gain = g**2 / w + (total_g - g) ** 2 / (total_w - w) - total_g**2 / total_w
+            gain = g**2 / (w + s.l2) + (total_g - g) ** 2 / (total_w - w + s.l2) - total_g**2 / (total_w + s.l2)
         gain[(rows < s.leaf_rows) | (total_n - rows < s.leaf_rows) | (rows == 0) | (rows == total_n) | ~np.isfinite(gain)] = 0.0
         best = gain.reshape(many, -1).argmax(axis=1)
         split = gain.reshape(many, -1)[np.arange(many), best] > 1e-12

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tapewire.functions import lexicon as lx
 from tapewire.functions.numeric import rounded
+from tapewire.operators import backtest as bt
 from tapewire.operators import boosting as bo
 from tapewire.operators import cluster as cl
 from tapewire.operators import evaluate as ev
@@ -19,8 +20,9 @@ from tapewire.operators import panel as pn
 from tapewire.operators import quality as ql
 from tapewire.operators import timeseries as ts
 from tapewire.operators import vectorize as vz
+from tapewire.operators import window_models as wm
 from tapewire.plans.news import training_rows
-from tapewire.plans.portfolios import CUTOFF
+from tapewire.plans.portfolios import CUTOFF, PLAN, filled_prices
 from tapewire.plans.registry import query
 from tapewire.plans.tabular import ipo
 from tapewire.plans.vectors import CLUSTER, STOPPED, split_docs
@@ -120,6 +122,17 @@ def gbt_scores(spark, sf):
 
 
 
+@query("walk_forward_model")
+def walk_forward_model(spark, sf):
+    """The walk-forward on scores of a model fitted per window."""
+    prices = filled_prices(spark, sf)
+    features = cut_lineage(ts.price_features(prices))
+    span = prices.agg(F.min("dt").alias("a"), F.max("dt").alias("z")).first()
+    cutoffs = cut_lineage(bt.rebalance_cutoffs(spark, span["a"], span["z"], PLAN))
+    scores = cut_lineage(wm.window_scores(features, cutoffs))
+    return rounded(bt.walk_forward(prices, features, PLAN, model=scores)["daily"].select("strategy", "window_id", "dt", "ret", "ic"), "ret", "ic")
+
+
 @query("score_headlines")
 def score_headlines(spark, sf):
     rows = cut_lineage(training_rows(spark, sf))
