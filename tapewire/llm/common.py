@@ -21,13 +21,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a staged table that nothing reads any more, and shuffles behind it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    release(spark)
+
+
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files.
 
     The rows are evaluated once, survive lost executors, and come back without a
-    partitioning, so later joins on them have two shuffles that AQE can split.
+    partitioning, so later joins on them have two shuffles that AQE can split. A
+    caller that means to remove the table gives its own new `folder`.
     """
-    folder = shared_folder(df.sparkSession, name)
+    folder = folder or shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
