@@ -1,6 +1,7 @@
 """Exact neighbours, density clusters and Euclidean silhouettes against all pairs."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -136,3 +137,22 @@ def test_query_on_given_vectors(spark):
     names = {c: i for i, c in enumerate(sorted(set(want.tolist()) - {-1}))}
     got = {r["vec_id"]: r["cluster"] for r in rows}
     assert [got[r["vec_id"]] for r in table] == [names.get(c, -1) for c in want.tolist()]
+
+
+def test_pairs_of_blocks_shuffle_no_vectors(spark, small_blocks):
+    """Vectors without structure reach every block: blocks are read again, rows are not copied per region or block."""
+    x = np.random.default_rng(5).normal(size=(500, 16))
+    points, _ = nb.distinct_vectors(frame(spark, x), "key", "v")
+    blocks = nb.blocks_of(nb.divide(points).homes)
+    assert blocks.count() >= 500 // nb.BLOCK_ROWS
+
+    def count(a, others):
+        yield pd.DataFrame({"id": a.rows["id"], "n": sum(len(b.v) for b in others)})
+
+    seen = nb.compare(blocks, blocks, None, count, "id long, n long")
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    assert [r["n"] for r in seen.groupBy("id").sum("n").withColumnRenamed("sum(n)", "n").collect()] == [500] * 500
+    want = np.sort(apart(x), axis=1)[:, :10]
+    got = {r["id"]: r["distances"] for r in nb.nearest_distances(points, 10).collect()}
+    assert np.allclose([got[i] for i in range(len(x))], want, atol=1e-6)
