@@ -1,5 +1,6 @@
 """Operators against plain Python on small inputs, edge rows and plans."""
 
+import collections
 import datetime
 import math
 import random
@@ -344,3 +345,28 @@ def test_best_labels_finds_the_number_of_blobs(spark):
         labels, k, score = cl.best_labels(points, label, [2, 3, 4])
         assert k == 3 and score > 0.9
         assert labels.groupBy("cluster").count().count() == 3
+
+
+def test_tfidf_weighs_rows_in_place_and_joins_large_vocabularies_without_copies(spark, monkeypatch):
+    texts = ["red red blue the", "blue sky x the", "", None, "été sky the red blue", "red sky red sky red", "blue the sky"]
+    settings = vz.Settings(bigrams=True, min_df=2, max_df=0.9, sublinear=True, stop_words=("the",))
+    for ids in (list(range(7)), [0, 1, 2, 3, 1, 5, None]):  # ids once each, or repeated and null
+        docs = spark.createDataFrame(list(zip(ids, texts)), "id bigint, t string")
+        words = [[w for w in (t or "").split() if len(w) > 1 and w != "the"] for t in texts]
+        terms = [collections.Counter(w + [" ".join(p) for p in zip(w, w[1:])]) for w in words]
+        df = collections.Counter(t for c in terms for t in c)
+        weight = [{t: (1 + math.log(n)) * (math.log(8 / (1 + df[t])) + 1) for t, n in c.items() if 2 <= df[t] <= 6.3} for c in terms]
+        norm = collections.Counter()
+        for i, w in zip(ids, weight):
+            norm[i] += sum(x * x for x in w.values())
+        want = sorted((str(i), t, round(x / math.sqrt(norm[i]), 9)) for i, w in zip(ids, weight) for t, x in w.items())
+        plans = []
+        for limit in (vz.BROADCAST_ROWS, 3):
+            monkeypatch.setattr(vz, "BROADCAST_ROWS", limit)
+            out = vz.tfidf(docs, "id", "t", settings)
+            assert sorted((str(r.id), r.feature, round(r.tfidf, 9)) for r in out.collect()) == want
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            monkeypatch.undo()
+        assert "Generate" not in plans[1] and "_salt" not in plans[1]
+        if None not in ids:
+            assert "Exchange" not in plans[0]
