@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapewire.llm.common import shared_folder
 from tapewire.llm.token_files import slices
-from tapewire.llm.tokens import encoder, end_task, text_chunks, with_end
+from tapewire.llm.tokens import ENCODED_BYTES, encoder, end_task, text_chunks, with_end
 from tapewire.operators.ordering import running_total
 
 LENGTH = 1024
@@ -98,7 +98,7 @@ def pack_documents(documents: DataFrame, vocabulary: str, end: int = 0, length:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for chunk in text_chunks(batch, "text"):
+            for chunk in text_chunks(batch, "text", ENCODED_BYTES):
                 ids, counts = encoder(vocabulary).encode(chunk["text"])
                 curve = curve_keys(ids, counts)
                 ids, counts = with_end(ids, counts, end)

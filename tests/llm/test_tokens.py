@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from conftest import SMALL
 from tapewire.llm import packing, token_files as tf
 from tapewire.llm.queries import QUERIES
-from tapewire.llm.tokens import PieceEncoder, text_chunks
+from tapewire.llm.tokens import ENCODED_BYTES, PieceEncoder, piece_starts, piece_texts, text_chunks
 
 VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 SAMPLES = [
@@ -151,3 +151,13 @@ def test_files_are_read_by_many_tasks(spark, monkeypatch):
     blocks = tf.write_ids(spark.createDataFrame(ROWS * 20, DOCS).repartition(4), public_tokenizers.path("word_bpe_49k.json"), 2)
     rows = tf.read_ids(blocks)
     assert rows.rdd.getNumPartitions() > 4 and rows.count() == 20 * len(ROWS)
+
+
+def test_repeated_pieces_of_an_encoded_chunk_are_looked_up_once(both):
+    """Texts of 1.7 MB are encoded together, so a piece that all of them hold is one key."""
+    encoder, _ = both
+    seen = []
+    batch = pa.RecordBatch.from_pydict({"text": [f"a line {i % 9} of words." * 40 for i in range(2400)]})
+    for chunk in text_chunks(batch, "text", ENCODED_BYTES):
+        piece_texts(chunk["text"], piece_starts, lambda keys: seen.extend(keys) or encoder.cache(keys))
+    assert batch["text"].nbytes > 1.4e6 and len(seen) == len(set(seen))
