@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tapewire.functions import pages as pg
 from tapewire.functions import times as tm
 from tapewire.functions import urls as ur
+from tapewire.session import cut_lineage
 
 
 def jsonld_record(html_pages: DataFrame) -> DataFrame:
@@ -77,8 +78,13 @@ def page_records(html_pages: DataFrame) -> DataFrame:
 
 
 def enrich(feed: DataFrame, records: DataFrame, as_of: str) -> DataFrame:
-    """Feed rows (pos, page_id, source, title, published) with page records, else feed values."""
-    good = records.where("status = 'ok'").select(
+    """Feed rows (pos, page_id, source, title, published) with page records, else feed values.
+
+    The records are written before they are filtered: a filter on their status would
+    parse every page again, once for each field that the status looks at.
+    """
+    parsed = cut_lineage(records.select("page_id", "url", "title", "author", "description", "published_at", "status"))
+    good = parsed.where("status = 'ok'").select(
         "page_id", "url",
         F.col("title").alias("_title"), F.col("author").alias("_author"), F.col("description").alias("_description"),
         tm.eastern(F.col("published_at")).alias("_published"),
