@@ -1,7 +1,7 @@
 """Boosted trees for many training sets and settings side by side.
 
-A training set (a fold left out, a window of history) is a bounded sample of its rows;
-one Spark task fits one model on binned features, so hundreds of fits are one job.
+A training set (a fold left out, a window of history) is packed once as bin numbers of
+one byte; one Spark task fits one model on them, so hundreds of fits are one job.
 Models are small rows that come back as data. All rows are scored in parallel, and a
 fit of many rounds also gives the models of fewer rounds on the way (staged scores).
 """
@@ -9,17 +9,18 @@ fit of many rounds also gives the models of fewer rounds on the way (staged scor
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapewire.operators.ordering import hashed_rank
 from tapewire.session import cut_lineage
 
-FIT_ROWS = 100_000  # most rows of one training set that a model is fitted on
+CHUNK_ROWS = 1 << 18  # rows whose figures are held at once; all rows have some 30 bytes each
 MODELS = 4096  # most models of one call; they are held by the driver and by every scoring task
 BINS = 64
 
@@ -47,68 +48,90 @@ def bin_edges(x: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
     return out
 
 
-def grow(codes: np.ndarray, width: int, residual: np.ndarray, hessian: np.ndarray, weight: np.ndarray, s: Boost):
+def grow(codes: np.ndarray, width: int, figures: Callable[[slice], tuple[np.ndarray, np.ndarray]], weight: np.ndarray, s: Boost):
     """One tree by levels: (feature, cut, value) of its nodes in heap order and the node of every row.
 
-    A split is the best gain in squared residuals over all features and bins of a node;
-    both sides keep `leaf_rows` rows. A feature of -1 marks a leaf.
+    `codes` are bin numbers (features, rows), `figures` gives residuals and hessians of a
+    stretch of rows. A split is the best gain in squared residuals over all features and
+    bins of a node; both sides keep `leaf_rows` rows. A feature of -1 marks a leaf.
     """
-    n, p = codes.shape
+    p, n = codes.shape
     size = (2 << s.depth) - 1
     feature, cut, value = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-    node = np.zeros(n, np.int64)
+    node = np.zeros(n, np.int32)
+    chunks = [slice(start, start + CHUNK_ROWS) for start in range(0, n, CHUNK_ROWS)]
     for level in range(s.depth + 1):
         first, many = (1 << level) - 1, 1 << level
-        live = np.flatnonzero(node >= first)
-        if not len(live):
-            break
-        whole = len(live) == n
-        part = (lambda values: values) if whole else (lambda values: values[live])
-        at = part(node) - first
-        heavy = part(weight)
-        pulled = part(residual) * heavy
-        down = np.bincount(at, part(hessian) * heavy, many)
         last = level == s.depth  # leaves need no histograms, only the sums of one feature
-        sums = np.zeros((3, many, 1 if last else p, width))
-        for f in range(sums.shape[2]):  # one feature at a time: the rows' figures are not copied per feature
-            place = at * width + part(codes[:, f])
-            for of, figures in enumerate((pulled,) if last else (pulled, heavy, None)):
-                sums[of, :, f] = np.bincount(place, figures, many * width).reshape(many, width)
-        g, w, rows = (c.cumsum(axis=2) for c in sums)
-        total_g, total_w, total_n = g[:, :1, -1:], w[:, :1, -1:], rows[:, :1, -1:]
+        sums, down, empty = np.zeros((3, many, 1 if last else p, width)), np.zeros(many), True
+        for rows in chunks:
+            live = np.flatnonzero(node[rows] >= first)
+            if not len(live):
+                continue
+            empty = False
+            whole = len(live) == len(node[rows])
+            part = (lambda values: values) if whole else (lambda values: values[live])
+            residual, hessian = figures(rows)
+            at = part(node[rows]).astype(np.int64) - first
+            heavy = part(weight[rows])
+            pulled = part(residual) * heavy
+            down += np.bincount(at, part(hessian) * heavy, many)
+            base = at * width
+            for f in range(sums.shape[2]):  # one feature at a time: the rows' figures are not copied per feature
+                place = base + part(codes[f, rows])
+                for of, figure in enumerate((pulled,) if last else (pulled, heavy, None)):
+                    sums[of, :, f] += np.bincount(place, figure, many * width).reshape(many, width)
+        if empty:
+            break
+        g, w, counts = (c.cumsum(axis=2) for c in sums)
+        total_g, total_w, total_n = g[:, :1, -1:], w[:, :1, -1:], counts[:, :1, -1:]
         up = total_g[:, 0, 0]
         value[first : first + many] = np.divide(up, down + s.l2, out=np.zeros(many), where=down > 1e-12)
         if last:
             break
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = g**2 / (w + s.l2) + (total_g - g) ** 2 / (total_w - w + s.l2) - total_g**2 / (total_w + s.l2)
-        gain[(rows < s.leaf_rows) | (total_n - rows < s.leaf_rows) | (rows == 0) | (rows == total_n) | ~np.isfinite(gain)] = 0.0
+        gain[(counts < s.leaf_rows) | (total_n - counts < s.leaf_rows) | (counts == 0) | (counts == total_n) | ~np.isfinite(gain)] = 0.0
         best = gain.reshape(many, -1).argmax(axis=1)
         split = gain.reshape(many, -1)[np.arange(many), best] > 1e-12
         feature[first : first + many] = np.where(split, best // width, -1)
         cut[first : first + many] = best % width
-        goes = live[split[at]]
-        here = node[goes]
-        node[goes] = 2 * here + 1 + (codes[goes, feature[here]] > cut[here])
+        for rows in chunks:
+            here = node[rows]  # a view: the nodes are moved in place
+            goes = np.flatnonzero(here >= first)
+            goes = goes[split[here[goes] - first]]
+            at = here[goes]
+            here[goes] = 2 * at + 1 + (codes[:, rows][feature[at], goes] > cut[at])
     return feature, cut, value, node
 
 
+def coded(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Bin numbers of a column; a value on a cut lies below it."""
+    return np.searchsorted(edges, x, side="left").astype(np.uint8)
+
+
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, s: Boost) -> dict:
     """A boosted model as plain lists: base score, cuts, and per tree the feature, cut and value of its nodes."""
     edges = bin_edges(x)
-    codes = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)]).T  # columns lie together
+    return fit_codes(np.stack([coded(c, e) for e, c in zip(edges, x.T, strict=True)]), edges, y, weight, s)
+
+
+def fit_codes(codes: np.ndarray, edges: Sequence[np.ndarray], y: np.ndarray, weight: np.ndarray, s: Boost) -> dict:
+    """`fit` of bin numbers (features, rows) with the cuts between them."""
     width = max(len(e) for e in edges) + 1
     mean = float(np.average(y, weights=weight))
     mean = min(max(mean, 1e-6), 1 - 1e-6) if s.loss == "logistic" else mean
     base = float(np.log(mean / (1 - mean))) if s.loss == "logistic" else mean
     margin, trees = np.full(len(y), base), []
-    for _ in range(s.rounds):
+
+    def figures(rows: slice) -> tuple[np.ndarray, np.ndarray]:
         if s.loss == "logistic":
-            prob = 1 / (1 + np.exp(-margin))
-            residual, hessian = y - prob, prob * (1 - prob)
-        else:
-            residual, hessian = y - margin, np.ones(len(y))
-        feature, cut, value, node = grow(codes, width, residual, hessian, weight, s)
+            prob = 1 / (1 + np.exp(-margin[rows]))
+            return y[rows] - prob, prob * (1 - prob)
+        return y[rows] - margin[rows], np.ones(len(margin[rows]))
+
+    for _ in range(s.rounds):
+        feature, cut, value, node = grow(codes, width, figures, weight, s)
         margin += s.step * value[node]
         trees.append((feature.tolist(), [float(edges[f][c]) if f >= 0 else 0.0 for f, c in zip(feature, cut)], (s.step * value).tolist()))
     return {"base": base, "loss": s.loss, "depth": s.depth, "trees": trees}
@@ -135,30 +158,94 @@ def staged(model: dict, x: np.ndarray, stages: Sequence[int]) -> np.ndarray:
     return 1 / (1 + np.exp(-found)) if model["loss"] == "logistic" else found
 
 
-def fit_models(rows: DataFrame, settings: Sequence[Boost], group: str, key: str, columns: Sequence[str], label: str, weight: str | None = None, fit_rows: int = FIT_ROWS) -> DataFrame:
+def packed_sets(rows: DataFrame, group: str, columns: Sequence[str], label: str, weight: str | None) -> DataFrame:
+    """Training sets as pieces of CHUNK_ROWS rows: bin numbers by feature, labels and weights, with the cuts of the whole set.
+
+    `rows` lie together by group within their partitions, in the order that models take them.
+    """
+    names = ["rows", "edges", "codes", "y", "w"]
+    kinds = [pa.int64(), pa.list_(pa.list_(pa.float64())), pa.binary(), pa.binary(), pa.binary()]
+
+    def close(name: pa.Scalar, held: dict) -> Iterator[pa.RecordBatch]:
+        y, w = (np.concatenate(held.pop(c)) for c in ("_y", "_w"))
+        edges, codes = [], np.zeros((len(columns), len(y)), np.uint8)
+        for f, c in enumerate(columns):  # column by column, so the numbers of one are held twice
+            x = np.concatenate(held.pop(c))
+            edges += bin_edges(x[:, None])
+            codes[f] = coded(x, edges[f])
+        for start in range(0, len(y), CHUNK_ROWS):
+            at = slice(start, start + CHUNK_ROWS)
+            cells = [len(y[at]), [e.tolist() for e in edges], codes[:, at].tobytes(), y[at].tobytes(), w[at].tobytes()]
+            yield pa.record_batch([pa.array([name.as_py()], name.type), *[pa.array([v], k) for v, k in zip(cells, kinds, strict=True)]], names=[group, *names])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, {}
+        for batch in batches:
+            runs = batch[group].to_pylist()
+            starts = [0, *[i for i in range(1, len(runs)) if runs[i] != runs[i - 1]]] if runs else []
+            for start, end in zip(starts, [*starts[1:], len(runs)]):
+                if held and runs[start] != name.as_py():
+                    yield from close(name, held)
+                    held = {}
+                name, part = batch[group][start], batch.slice(start, end - start)
+                found = {c: part[c].to_numpy(zero_copy_only=False).astype(float) for c in (label, *columns, *([weight] if weight else []))}
+                found |= {"_y": found[label], "_w": found[weight] if weight else np.ones(len(part))}
+                for c in ("_y", "_w", *columns):
+                    held.setdefault(c, []).append(found[c])
+        if held:
+            yield from close(name, held)
+
+    kind = rows.schema[group].dataType.simpleString()
+    return rows.mapInArrow(pack, f"`{group}` {kind}, rows long, edges array<array<double>>, codes binary, y binary, w binary")
+
+
+def fit_models(rows: DataFrame, settings: Sequence[Boost], group: str, key: str, columns: Sequence[str], label: str, weight: str | None = None, fit_rows: int | None = None) -> DataFrame:
     """(group, setting, model, rows) for every group of training rows and every setting.
 
     `rows` has one row per group that trains on it (a row of four folds comes four
-    times). Of each group the `fit_rows` rows of the smallest md5 of `key` are fitted
-    on, a bound that also holds for one group with most of the rows. Rows with a null
-    in a feature or the label train nothing.
+    times). Models are fitted on all rows of their group; a caller that gives `fit_rows`
+    has those of the smallest md5 of `key` only. Rows with a null in a feature or the
+    label train nothing. Every group is packed once, by one task; a task then reads the
+    pieces of a group and fits one setting, so rows are not shuffled per setting.
     """
     use = [group, key, label, *columns, *([weight] if weight else [])]
-    ranked = hashed_rank(rows.select(*use).dropna(subset=[label, *columns]), [group], key, "_rank")
-    sample = cut_lineage(ranked.where(F.col("_rank") <= fit_rows).drop("_rank", "group_size"))
-    spread = sample.withColumn("setting", F.explode(F.sequence(F.lit(0), F.lit(len(settings) - 1))))
-    if sample.select(group).distinct().count() * len(settings) > MODELS:
+    sample = rows.select(*use).dropna(subset=[label, *columns])
+    if fit_rows is not None:
+        ranked = hashed_rank(sample, [group], key, "_rank")
+        sample = cut_lineage(ranked.where(F.col("_rank") <= fit_rows).drop("_rank", "group_size"))
+    groups = sample.select(group).distinct().count()
+    if groups * len(settings) > MODELS:
         raise ValueError(f"more than {MODELS} models")
+    together = sample.repartition(max(1, 4 * groups), group).sortWithinPartitions(group, F.col(key).asc_nulls_last())
+    packed = cut_lineage(packed_sets(together, group, columns, label, weight))
+    numbers = rows.sparkSession.range(0, len(settings), 1, len(settings)).select(F.col("id").cast("int").alias("setting"))
+    tasks = packed.hint("shuffle_replicate_nl").crossJoin(numbers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pieces, schema = None, [], None
+
+        def model() -> pa.RecordBatch:
+            y, w = (np.concatenate([np.frombuffer(piece[c]) for piece in pieces]) for c in ("y", "w"))
+            codes = np.concatenate([np.frombuffer(piece["codes"], np.uint8).reshape(len(columns), -1) for piece in pieces], axis=1)
+            edges = [np.array(e, float) for e in pieces[0]["edges"]]
+            pieces.clear()
+            found = json.dumps(fit_codes(codes, edges, y, w, settings[at[1]]))
+            cells = [pa.array([at[0]], schema.field(group).type), pa.array([at[1]], pa.int32()), pa.array([found]), pa.array([len(y)], pa.int64())]
+            return pa.record_batch(cells, names=[group, "setting", "model", "rows"])
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        at = int(frame["setting"].iloc[0])
-        frame = frame.sort_values([key])
-        w = frame[weight].to_numpy(float) if weight else np.ones(len(frame))
-        model = fit(frame[list(columns)].to_numpy(float), frame[label].to_numpy(float), w, settings[at])
-        return pd.DataFrame({group: [frame[group].iloc[0]], "setting": [at], "model": [json.dumps(model)], "rows": [len(frame)]})
+        for batch in batches:
+            schema = batch.schema
+            for i in range(batch.num_rows):
+                name, setting = batch[group][i].as_py(), batch["setting"][i].as_py()
+                if pieces and (name, setting) != at:
+                    yield model()
+                at = name, setting
+                pieces.append({c: batch[c][i].as_py() for c in ("codes", "y", "w", "edges")})
+        if pieces:
+            yield model()
 
     kind = rows.schema[group].dataType.simpleString()
-    return cut_lineage(spread.groupBy(group, "setting").applyInPandas(one, f"{group} {kind}, setting int, model string, rows long"))
+    return cut_lineage(tasks.mapInArrow(run, f"`{group}` {kind}, setting int, model string, rows long"))
 
 
 def sent_models(models: DataFrame, group: str):

@@ -44,3 +44,27 @@ def test_calls_are_counted_in_the_task(spark):
     counted = bo.count_calls(df, models, "g", ["a", "b"], stages, "y")
     assert {tuple(r) for r in counted.collect()} == want and len(want) == 6
     assert sum(r["n00"] + r["n01"] + r["n10"] + r["n11"] for r in counted.collect()) == 399 * 3
+
+
+def test_models_are_fitted_on_all_rows_of_their_group(spark):
+    """More rows than the 100,000 that once bounded a training set, in several pieces."""
+    rows = spark.range(100_500).selectExpr("id", "id % 2 as g", "id * 7919 % 100003 / 1000.0 as a", "0.0 as y")
+    rows = rows.unionByName(rows.where("g = 0")).withColumn("y", (F.col("a") > 50).cast("double"))
+    models = bo.fit_models(rows, [bo.Boost(1, 0.5, 1)], "g", "id", ["a"], "y")
+    assert {(r["g"], r["rows"]) for r in models.collect()} == {(0, 100_500), (1, 50_250)}
+
+
+def test_pieces_and_chunks_do_not_show(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 3))
+    y, w = (x[:, 0] * x[:, 1] > 0).astype(float), rng.integers(1, 4, 500).astype(float)
+    setting = bo.Boost(5, 0.3, 3, 4, "logistic")
+    whole = bo.fit(x, y, w, setting)
+    monkeypatch.setattr(bo, "CHUNK_ROWS", 64)
+    cut = bo.fit(x, y, w, setting)
+    assert [t[:2] for t in cut["trees"]] == [t[:2] for t in whole["trees"]]
+    assert np.allclose(bo.staged(cut, x, [5]), bo.staged(whole, x, [5]), atol=1e-12)
+    df = spark.createDataFrame([(i, 0, *map(float, r), float(b), float(c)) for i, (r, b, c) in enumerate(zip(x, y, w))], "id int, g int, a double, b double, c double, y double, w double")
+    got = bo.score_rows(df, bo.fit_models(df, [setting], "g", "id", ["a", "b", "c"], "y", "w"), "g", ["a", "b", "c"], {0: [5]}, ["id"])
+    want = bo.staged(whole, x, [5])[:, 0]
+    assert np.allclose([r["score"] for r in got.orderBy("id").collect()], want, atol=1e-12)
